@@ -30,9 +30,15 @@ def threshold_alerts(
     amount: str = "amount",
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """One ``fraud_result`` per suspicious transaction; works on tables and streams."""
-    alerts = frame.select(alert_text(transaction_id, amount, threshold).alias("fraud_result"))
-    return alerts.where("fraud_result <> ''")
+    """One ``fraud_result`` per suspicious transaction; works on tables and streams.
+
+    These are the rows whose alert text is not empty.  The condition is put on
+    the columns instead of the text, so that a numeric amount is compared in
+    the scan.
+    """
+    suspicious = (readable_number(amount) > threshold) & F.col(transaction_id).isNotNull()
+    text = F.concat(F.lit(PREFIX), F.col(transaction_id).cast("string"))
+    return frame.where(suspicious).select(text.alias("fraud_result"))
 
 
 def decoded_transactions(raw: DataFrame, value: str = "value") -> DataFrame:

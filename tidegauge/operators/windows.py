@@ -64,9 +64,13 @@ def tumbling_statistics(
 
 
 def _window_sizes(frame: DataFrame, channel: str, time: str, size: timedelta):
-    """Rows in all, and rows in the largest window of a channel."""
+    """Group sizes, and whether the largest window is too big to gather in one task.
+
+    Gathered readings are held as objects, several windows at a time, so the
+    limit is an eighth of what a sorted task may take.
+    """
     sizes = group_sizes(frame, [_channel(channel), tumbling(time, size)])
-    return sizes, sizes.largest > rows_per_task(frame.sparkSession)
+    return sizes, sizes.largest > rows_per_task(frame.sparkSession) // 8
 
 
 def readings_list(

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tidegauge.functions.expressions import same_key
 from tidegauge.plans import scans
-from tidegauge.plans.shared import pinned
+from tidegauge.plans.shared import stored
 from tidegauge.plans.skew import rows_per_task
 
 RUN, _SPREAD = "_run", "_spread"
@@ -68,7 +68,7 @@ def previous_value(
     """lag(column) per key over split runs; with no keys, over the whole table."""
     runs = sorted_runs(frame, keys, order, total)
     schema = _extended(runs.schema, [(out, runs.schema[column].dataType), *_EDGE_FIELDS])
-    scanned = pinned(runs.mapInArrow(scans.previous_value_scan(keys, column, out), schema))
+    scanned = stored(runs.mapInArrow(scans.previous_value_scan(keys, column, out), schema))
 
     # One row per run: an unpartitioned window is bounded by the task count.
     by_run = Window.orderBy(RUN)
@@ -121,7 +121,7 @@ def running_sum(
         ],
     )
     scan = scans.running_sum_scan(keys, sums, time, idle)
-    scanned = pinned(runs.mapInArrow(scan, schema))
+    scanned = stored(runs.mapInArrow(scan, schema))
 
     at = F.col(time) if time else F.lit(0)
     edges = _edges(

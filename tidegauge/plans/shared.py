@@ -1,4 +1,8 @@
-"""The shared folder, and cutting lineage into it."""
+"""The shared folder, and cutting lineage into it.
+
+Copies outlive the query: remove the folder when its results are used, or set
+``spark.cleaner.referenceTracking.cleanCheckpoints`` for the checkpoints.
+"""
 
 from __future__ import annotations
 
@@ -32,13 +36,23 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def pinned(frame: DataFrame) -> DataFrame:
-    """``frame`` written to the shared folder and read back from it.
+    """``frame`` checkpointed: its partitions and their row order stay as they are.
 
-    The copy keeps the partitions and their row order, and survives the loss of
-    the executors that computed it.
+    The copy survives the loss of the executors that computed it.
     """
-    spark = frame.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    context = frame.sparkSession.sparkContext
+    folder = shared_folder(frame.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return frame.checkpoint(eager=True)
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """``frame`` written as a table and read back.
+
+    Later passes read only the columns they need, from compressed files, but in
+    any order and with partitions of their own.
+    """
+    folder = new_folder(frame.sparkSession, "stored")
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)

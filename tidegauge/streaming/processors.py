@@ -105,6 +105,10 @@ class TimedSum(StatefulProcessor):
 
     Timers of the same key and millisecond are one timer.  All rows of a
     micro-batch are in the sum before its timers fire.
+
+    The times to report at are kept as a list, and only the earliest is set as
+    a timer of the engine: its expiry reports every time the watermark has
+    passed and sets the next one.
     """
 
     def __init__(self, delay_ms: int):
@@ -113,25 +117,35 @@ class TimedSum(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.total = handle.getValueState("total", "sum double")
+        self.waiting = handle.getListState("waiting", "fires_at bigint")
 
     def handleInputRows(self, key: Any, rows: Rows, timerValues: Any) -> Rows:
         total = self.total.get()[0] if self.total.exists() else 0.0
-        times = set()
+        times = np.empty(0, dtype="int64")
         for batch in rows:
             total += float(batch["value"].sum())
-            times.update(batch["at_ms"].unique().tolist())
+            times = np.union1d(times, batch["at_ms"].to_numpy(dtype="int64"))
         self.total.update((total,))
-        for time in times:
-            self.handle.registerTimer(int(time) + self.delay_ms)
+        fires = (times + self.delay_ms).tolist()
+        self.waiting.appendList([(time,) for time in fires])
+        self.handle.registerTimer(fires[0])
         return iter(())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Rows:
+        passed = max(
+            timerValues.getCurrentWatermarkInMs() - 1, expiredTimerInfo.getExpiryTimeInMs()
+        )
+        waiting = np.unique(np.array([row[0] for row in self.waiting.get()], dtype="int64"))
+        due, later = waiting[waiting <= passed], waiting[waiting > passed]
+        if len(due) == 0:
+            return
+        if len(later):
+            self.waiting.put([(time,) for time in later.tolist()])
+            self.handle.registerTimer(int(later[0]))
+        else:
+            self.waiting.clear()
         yield pd.DataFrame(
-            {
-                "key": [key[0]],
-                "fired_at": [expiredTimerInfo.getExpiryTimeInMs()],
-                "total": [self.total.get()[0]],
-            }
+            {"key": key[0], "fired_at": due, "total": self.total.get()[0]}, index=range(len(due))
         )
 
     def close(self) -> None:
