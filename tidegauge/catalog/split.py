@@ -10,11 +10,16 @@ from __future__ import annotations
 from contextlib import contextmanager
 from datetime import timedelta
 
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from tidegauge.catalog import batch
 from tidegauge.catalog.registry import query
 from tidegauge.operators.windows import readings_list
+from tidegauge.plans.shared import new_folder
 from tidegauge.plans.skew import ROWS_PER_TASK
-from tidegauge.sources.tables import table
+from tidegauge.sources.tables import table, table_stream
+from tidegauge.streaming import carried
 
 _SHARE = 16
 
@@ -76,3 +81,42 @@ def channel_throttle_split(spark, folder):
 def tumble_readings_list_split(spark, folder):
     with small_tasks(spark, table(spark, folder, "events")) as events:
         return readings_list(events, "event_type", "ts", "value", "event_id", timedelta(days=30))
+
+
+def _event_stream(spark, folder, *columns):
+    return table_stream(spark, folder, "events").select("event_id", "event_type", "ts", *columns)
+
+
+@query(batch.throttle_sql("event_type", "6 HOUR"))
+def stream_throttle_split(spark, folder):
+    stream, out = _event_stream(spark, folder, "value"), new_folder(spark, "carried")
+    with small_tasks(spark, table(spark, folder, "events")):
+        carried.throttle_in_batches(
+            stream, ["event_type"], "ts", ["event_id"],
+            out, new_folder(spark, "progress"), timedelta(hours=6),
+        ).awaitTermination()
+    return carried.results(spark, out, stream.schema)
+
+
+@query(batch.gap_sql("event_type"))
+def stream_lag_gap_split(spark, folder):
+    stream, out = _event_stream(spark, folder), new_folder(spark, "carried")
+    with small_tasks(spark, table(spark, folder, "events")):
+        carried.gap_in_batches(
+            stream, ["event_type"], "ts", ["event_id"], out, new_folder(spark, "progress")
+        ).awaitTermination()
+    schema = T.StructType([*stream.schema, T.StructField("last_recorded_timestamp", T.TimestampNTZType())])
+    return carried.results(spark, out, schema)
+
+
+@query(batch.rolling_sql("event_type"))
+def stream_rolling_sum_split(spark, folder):
+    stream, out = _event_stream(spark, folder, "value"), new_folder(spark, "carried")
+    with small_tasks(spark, table(spark, folder, "events")):
+        carried.running_sum_in_batches(
+            stream, ["event_type"], ["ts", "event_id"], "value", "total",
+            out, new_folder(spark, "progress"),
+        ).awaitTermination()
+    schema = T.StructType([*stream.schema, T.StructField("total", T.DoubleType())])
+    summed = carried.results(spark, out, schema)
+    return summed.select("event_id", "event_type", F.round("total", 2).alias("total"))

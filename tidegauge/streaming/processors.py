@@ -67,7 +67,8 @@ class PreviousTime(StatefulProcessor):
         before = self.last.get()[0] if self.last.exists() else None
         earlier = batch[AT_MICROS].astype("Int64").shift(1)
         earlier.iloc[0] = pd.NA if before is None else before
-        self.last.update((int(batch[AT_MICROS].iloc[-1]),))
+        latest = int(batch[AT_MICROS].iloc[-1])
+        self.last.update((latest if before is None else max(before, latest),))
         yield batch.assign(**{self.out: earlier})
 
     def close(self) -> None:
