@@ -4,25 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidegauge.functions.expressions import instant
 from tidegauge.schemas import MEASUREMENT, MEASUREMENT_JSON
 
-_CORRUPT = "_corrupt"
-_TOLERANT = T.StructType([*MEASUREMENT_JSON.fields, T.StructField(_CORRUPT, T.StringType())])
-
 
 def decoded_measurements(raw: DataFrame, value: str = "value", transport: str = "timestamp") -> DataFrame:
     """Decode (value, transport time) messages to measurements.
 
     A missing field, or one of the wrong type, is NULL; numbers are accepted as
-    channel ids.  Skipped are lines that are not JSON at all and measurements
-    without an event time, which no window could take.
+    channel ids.  Measurements without an event time are skipped, as no window
+    could take them; so are lines that are not JSON, whose fields are all NULL.
     """
-    read = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     decoded = raw.select(
-        F.from_json(F.col(value).cast("string"), _TOLERANT, read).alias("body"),
+        F.from_json(F.col(value).cast("string"), MEASUREMENT_JSON).alias("body"),
         F.col(transport).cast("timestamp").alias("ts"),
     )
     measured = decoded.select("body.*", "ts").withColumn("event_time", instant("timestamp"))

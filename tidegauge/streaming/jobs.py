@@ -179,8 +179,12 @@ def running_sum_stream(
     out: str,
     ttl: timedelta | None = None,
 ) -> DataFrame:
-    """Every row with its key's total so far; with ``ttl`` an idle total is forgotten
-    after that much wall-clock time."""
+    """Every row with its key's total so far.
+
+    With ``ttl`` an idle total is forgotten after that much wall-clock time.
+    Such a query must be given a time to run ``every``: the clock always leaves
+    it something to do, so "what is there now" never ends.
+    """
     ttl_ms = None if ttl is None else micros(ttl) // 1000
 
     def processor(names: dict[str, str]) -> RunningSum:
