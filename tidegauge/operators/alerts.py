@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions.expressions import readable_number
 from tidegauge.schemas import TRANSACTION_JSON
 
+# The amount above which a transaction is reported, and the text.
 THRESHOLD = 1000.0
 PREFIX = "Suspicious Transaction: "
 

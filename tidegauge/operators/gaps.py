@@ -12,6 +12,7 @@ from tidegauge.functions.expressions import epoch_micros, micros
 from tidegauge.plans import runs
 from tidegauge.plans.skew import group_sizes, rows_per_task
 
+# Fixed value: the least distance between two rows.
 DEFAULT_GAP = timedelta(milliseconds=60_000)
 
 

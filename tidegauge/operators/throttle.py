@@ -14,6 +14,7 @@ from tidegauge.plans import chains
 from tidegauge.plans.scans import Batches
 from tidegauge.plans.skew import group_sizes, rows_per_task
 
+# Fixed value: the least distance between two kept rows of a channel.
 DEFAULT_GAP = timedelta(seconds=240)
 
 

@@ -16,6 +16,7 @@ from tidegauge.functions.expressions import interval_text, same_key, stable_roun
 from tidegauge.operators.readings import joined_parts, ordered_list, readings_parts
 from tidegauge.plans.skew import group_sizes, rows_per_task
 
+# Fixed value: the window of the report.
 REPORT_WINDOW = timedelta(minutes=5)
 _AT = ["channel_id", "window_start", "window_end"]
 

@@ -31,6 +31,7 @@ from tidegauge.operators.throttle import throttle
 from tidegauge.sinks.writers import stream_writer
 
 _CARRIED = "_carried"
+_ADAPTIVE = "spark.sql.adaptive.enabled"
 
 
 def results(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
@@ -58,7 +59,17 @@ def _in_batches(
     carried_schema = T.StructType([*[stream.schema[k] for k in keys], T.StructField(_CARRIED, kind)])
 
     def step(batch: DataFrame, number: int) -> None:
+        # A stream plans without runtime statistics; the work on one micro-batch
+        # is a batch job and wants them, for large keys above all.
         spark = batch.sparkSession
+        planned = spark.conf.get(_ADAPTIVE)
+        spark.conf.set(_ADAPTIVE, "true")
+        try:
+            apply(spark, batch, number)
+        finally:
+            spark.conf.set(_ADAPTIVE, planned)
+
+    def apply(spark: SparkSession, batch: DataFrame, number: int) -> None:
         if number == 0:
             carried = spark.createDataFrame([], carried_schema)
         else:

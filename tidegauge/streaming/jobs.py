@@ -28,6 +28,7 @@ from tidegauge.streaming.processors import (
     TimedSum,
 )
 
+# Watermark delays, the timer, and the lifetime of an idle total.
 REPORT_DELAY = timedelta(seconds=30)
 TIMER_DELAY = timedelta(milliseconds=2000)
 TIMER_LATENESS = timedelta(seconds=2)
