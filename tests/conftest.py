@@ -12,7 +12,9 @@ from tidegauge.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(cores=4, shuffle_partitions=4)
+    # Tiny inputs: compiling costs more than it saves.
+    quick = {"spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1"}
+    session = local_session(cores=4, shuffle_partitions=3, settings=quick)
     yield session
     session.stop()
 

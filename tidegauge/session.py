@@ -18,7 +18,9 @@ LIBRARY_SETTINGS = {
 }
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    cores: int | str = 8, shuffle_partitions: int = 8, settings: dict[str, str] | None = None
+) -> SparkSession:
     """A local session whose shared folder is a new folder under the temp dir."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -30,7 +32,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
         .config("spark.python.unix.domain.socket.enabled", "true")
     )
-    for key, value in LIBRARY_SETTINGS.items():
+    for key, value in {**LIBRARY_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
