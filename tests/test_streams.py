@@ -225,7 +225,7 @@ def test_idle_total_is_forgotten_by_the_wall_clock(spark, tmp_path):
     folder, out, progress = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "progress")
     stream, _ = timed_rows(spark, folder, {1: [{"k": "a", "s": 1, "v": 5.0, "id": 1}]})
     summed = jobs.running_sum_stream(
-        stream, ["k"], "at", ["id"], "v", "total", ttl=timedelta(seconds=1)
+        stream, ["k"], "at", ["id"], "v", "total", ttl=jobs.TOTAL_TTL
     )
     with jobs.keyed_state(spark):
         query = to_files(summed, out, progress, every=timedelta(milliseconds=100))

@@ -94,7 +94,8 @@ def tumble_readings_list(spark, folder):
 )
 def report_json(spark, folder):
     """The full report as the sink writes it, read back to columns."""
-    report = tumbling_report(table(spark, folder, "events"), "event_type", "ts", "value", "event_id")
+    events = table(spark, folder, "events")
+    report = tumbling_report(events, "event_type", "ts", "value", "event_id")
     return read_back(report_messages(report), REPORT)
 
 

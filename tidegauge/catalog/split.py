@@ -105,7 +105,8 @@ def stream_lag_gap_split(spark, folder):
         carried.gap_in_batches(
             stream, ["event_type"], "ts", ["event_id"], out, new_folder(spark, "progress")
         ).awaitTermination()
-    schema = T.StructType([*stream.schema, T.StructField("last_recorded_timestamp", T.TimestampNTZType())])
+    before = T.StructField("last_recorded_timestamp", T.TimestampNTZType())
+    schema = T.StructType([*stream.schema, before])
     return carried.results(spark, out, schema)
 
 

@@ -182,6 +182,7 @@ def _links(edges: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
     in_chain = Window.partitionBy("chain").orderBy(RUN)
     landings = F.floor((F.col("last_at") - F.col("first_at")) / gap) + 1
     overshoot = F.least(landings * F.greatest("widest", pause), F.lit(gap))
+    added = F.when(F.col("anchored"), F.lit(0)).otherwise(overshoot)
     return linked.select(
         RUN,
         "goes_on",
@@ -191,7 +192,7 @@ def _links(edges: DataFrame, keys: Sequence[str], gap: int) -> DataFrame:
         F.row_number().over(in_chain).cast("bigint").alias("link"),
         F.when(F.col("anchored"), F.col("exit")).alias("exit"),
         F.first("exit").over(in_chain).alias("anchor"),
-        F.sum(F.when(F.col("anchored"), F.lit(0)).otherwise(overshoot)).over(in_chain).alias("slack"),
+        F.sum(added).over(in_chain).alias("slack"),
     )
 
 
@@ -259,7 +260,8 @@ def _walked(stairs: DataFrame, seeds: DataFrame, width: int, gap: int) -> DataFr
     Gives the mark each link receives and hands on.  One task streams one
     block; it holds a single mark.
     """
-    rows = stairs.select("chain", F.floor(F.col("link") / width).alias("block"), "link", "reach", "exit")
+    block = F.floor(F.col("link") / width).alias("block")
+    rows = stairs.select("chain", block, "link", "reach", "exit")
     starts = seeds.select(
         "chain",
         "block",
@@ -328,14 +330,16 @@ def _link_marks(stairs: DataFrame, anchors: DataFrame, gap: int) -> DataFrame:
         per_chain = per_link.groupBy("chain").agg(
             F.sum("n").alias("n"), F.max("n").alias("widest"), F.count(F.lit(1)).alias("links")
         )
+        reducible = F.when(F.col("links") > 1, F.col("n"))
         found = per_chain.agg(
-            F.max(F.when(F.col("links") > 1, F.col("n"))).alias("n"), F.max("widest").alias("widest")
+            F.max(reducible).alias("n"), F.max("widest").alias("widest")
         ).first()
         if (found["n"] or 0) <= budget:
             break
         widths.append(max(2, budget // found["widest"]))
         levels.append(pinned(_combined(top, widths[-1], gap)))
-    seeds = anchors.select("chain", F.lit(0).cast("bigint").alias("block"), F.col("exit").alias("mark"))
+    only_block = F.lit(0).cast("bigint").alias("block")
+    seeds = anchors.select("chain", only_block, F.col("exit").alias("mark"))
     marks = _walked(levels[-1], seeds, _WHOLE_CHAIN, gap)
     for stairs_below, width in zip(reversed(levels[:-1]), reversed(widths), strict=True):
         seeds = marks.select("chain", F.col("link").alias("block"), F.col("entry").alias("mark"))

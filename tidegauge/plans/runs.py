@@ -26,7 +26,9 @@ from tidegauge.plans.skew import rows_per_task
 RUN, _SPREAD = "_run", "_spread"
 
 
-def sorted_runs(frame: DataFrame, keys: Sequence[str], order: Sequence[str], total: int) -> DataFrame:
+def sorted_runs(
+    frame: DataFrame, keys: Sequence[str], order: Sequence[str], total: int
+) -> DataFrame:
     """Cut ``frame`` into sorted runs and number them; the layout is not yet pinned.
 
     The row's own position is the last sort column, so that equal rows, however
@@ -141,12 +143,9 @@ def running_sum(
     linked = linked.withColumn("goes_on", goes_on)
     linked = linked.withColumn("chain", F.sum(chained).over(by_run))
     in_chain = Window.partitionBy("chain").orderBy(RUN)
+    received = {c: F.when(F.col("goes_on"), before[c]).otherwise(F.lit(0)) for c in sums}
     carries = linked.select(
-        RUN,
-        *[
-            F.sum(F.when(F.col("goes_on"), before[c]).otherwise(F.lit(0))).over(in_chain).alias(f"{c}_in")
-            for c in sums
-        ],
+        RUN, *[F.sum(received[c]).over(in_chain).alias(f"{c}_in") for c in sums]
     )
     opening = F.col(scans.SEGMENT) == 0
     full = {c: F.col(c) + F.when(opening, F.col(f"{c}_in")).otherwise(F.lit(0)) for c in sums}

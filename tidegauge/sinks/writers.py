@@ -67,13 +67,17 @@ def stream_writer(
     return writer.trigger(processingTime=f"{micros(every) // 1000} milliseconds")
 
 
-def to_topic(messages: DataFrame, topic: str, checkpoint: str, servers: str = DEFAULT_SERVERS, **options) -> StreamingQuery:
+def to_topic(
+    messages: DataFrame, topic: str, checkpoint: str, servers: str = DEFAULT_SERVERS, **options
+) -> StreamingQuery:
     """Start writing messages to a topic."""
     writer = stream_writer(messages, checkpoint, **options).format("kafka")
     return writer.options(**topic_options(topic, servers)).start()
 
 
-def to_files(frame: DataFrame, folder: str, checkpoint: str, kind: str = "parquet", **options) -> StreamingQuery:
+def to_files(
+    frame: DataFrame, folder: str, checkpoint: str, kind: str = "parquet", **options
+) -> StreamingQuery:
     """Start writing to files: 'parquet' or 'json' for rows, 'text' for messages."""
     return stream_writer(frame, checkpoint, **options).format(kind).start(folder)
 

@@ -31,10 +31,12 @@ def synthetic_measurements(
     """
     n = F.col(number)
     start = F.lit(first_ms) if isinstance(first_ms, int) else first_ms
+    millisecond = timedelta(milliseconds=1)
+    drawn = F.pmod(F.xxhash64(n, F.lit(seed)), F.lit(HIGHEST - LOWEST + 1))
     return sequence.select(
         (F.pmod(n, F.lit(CHANNELS)) + 1).cast("bigint").alias("channel_id"),
-        (F.pmod(F.xxhash64(n, F.lit(seed)), F.lit(HIGHEST - LOWEST + 1)) + LOWEST).alias("channel_value"),
-        (start + n * (step // timedelta(milliseconds=1)) + LEAD // timedelta(milliseconds=1)).alias("timestamp"),
+        (drawn + LOWEST).alias("channel_value"),
+        (start + n * (step // millisecond) + LEAD // millisecond).alias("timestamp"),
     )
 
 

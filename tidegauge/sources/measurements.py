@@ -9,7 +9,9 @@ from tidegauge.functions.expressions import instant
 from tidegauge.schemas import MEASUREMENT, MEASUREMENT_JSON
 
 
-def decoded_measurements(raw: DataFrame, value: str = "value", transport: str = "timestamp") -> DataFrame:
+def decoded_measurements(
+    raw: DataFrame, value: str = "value", transport: str = "timestamp"
+) -> DataFrame:
     """Decode (value, transport time) messages to measurements.
 
     A missing field, or one of the wrong type, is NULL; numbers are accepted as

@@ -56,7 +56,8 @@ def _in_batches(
     ``carry`` gives the micro-batch's own (keys, _carried); ``merge`` aggregates
     a key's old and new value to the one that is carried on.
     """
-    carried_schema = T.StructType([*[stream.schema[k] for k in keys], T.StructField(_CARRIED, kind)])
+    key_fields = [stream.schema[k] for k in keys]
+    carried_schema = T.StructType([*key_fields, T.StructField(_CARRIED, kind)])
 
     def step(batch: DataFrame, number: int) -> None:
         # A stream plans without runtime statistics; the work on one micro-batch
@@ -73,7 +74,8 @@ def _in_batches(
         if number == 0:
             carried = spark.createDataFrame([], carried_schema)
         else:
-            carried = spark.read.schema(carried_schema).parquet(f"{folder}/carried/{(number - 1) % 2}")
+            before = f"{folder}/carried/{(number - 1) % 2}"
+            carried = spark.read.schema(carried_schema).parquet(before)
         here = f"{folder}/rows/{number}"
         same = same_key([batch[k] for k in keys], [carried[k] for k in keys])
         known = batch.join(carried, same, "left").select(batch["*"], carried[_CARRIED])

@@ -119,7 +119,9 @@ def _in_state(
         return (column.cast("string") if as_text else column).alias(plain[name])
 
     timed = stream.where(F.col(time).isNotNull())
-    passed = timed.select(*[carried(c) for c in stream.columns], epoch_micros(time).alias(AT_MICROS))
+    passed = timed.select(
+        *[carried(c) for c in stream.columns], epoch_micros(time).alias(AT_MICROS)
+    )
     processed = passed.groupBy(*[plain[k] for k in keys]).transformWithStateInPandas(
         statefulProcessor=make_processor(plain),
         outputStructType=T.StructType([*passed.schema.fields, *added]),
@@ -189,7 +191,8 @@ def running_sum_stream(
     ttl_ms = None if ttl is None else micros(ttl) // 1000
 
     def processor(names: dict[str, str]) -> RunningSum:
-        return RunningSum([AT_MICROS, *[names[t] for t in tie]], names[value], "total_so_far", ttl_ms)
+        order = [AT_MICROS, *[names[t] for t in tie]]
+        return RunningSum(order, names[value], "total_so_far", ttl_ms)
 
     added = [T.StructField("total_so_far", T.DoubleType())]
     mode = "None" if ttl is None else "ProcessingTime"
@@ -207,7 +210,10 @@ def timed_sum_stream(
 ) -> DataFrame:
     """Every row sets an event-time timer; a timer gives (key, fired_at, total of the key)."""
     timed = watermarked(stream, time, lateness).select(
-        F.col(key).alias("key"), time, F.unix_millis(time).alias("at_ms"), F.col(value).alias("value")
+        F.col(key).alias("key"),
+        time,
+        F.unix_millis(time).alias("at_ms"),
+        F.col(value).alias("value"),
     )
     fields = [
         T.StructField("key", stream.schema[key].dataType),
