@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
+from tidegauge.catalog import ORACLES, QUERIES
 from oracle import connected, oracle_rows, spark_rows
 
 FOLDER = os.environ.get("TIDEGAUGE_TEST_TABLES", "/root/testdata/sf0.001")
@@ -20,10 +21,12 @@ def test_flagship_has_rows(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.oracle_sql()) == set(entry_point.queries())
+    assert set(ORACLES) == set(QUERIES)
+    assert QUERIES.keys() <= entry_point.queries().keys()
+    assert ORACLES.keys() <= entry_point.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", entry_point.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, connection, name):
     columns, rows = spark_rows(entry_point.queries()[name](spark, FOLDER))
     assert rows
