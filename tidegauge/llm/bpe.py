@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import ranges, remembered, slices, sums, texts_of
-from tidegauge.llm.pieces import PieceIds, split
+from tidegauge.llm.pieces import EXACT, Pattern, PieceIds, patterns, split
 
 #: Texts of at most so many characters are scanned, and pieces of so many bytes merged, at once.
 LEAF_CHARACTERS = 4096
@@ -43,7 +43,7 @@ _SETTLED = 2
 _REMEMBERED = 400_000
 
 
-def join_pieces(left: list[str], right: list[str]) -> list[str]:
+def join_pieces(left: list[str], right: list[str], pattern: Pattern = EXACT) -> list[str]:
     """The pieces of two neighbouring texts together."""
     if not left or not right:
         return left or right
@@ -62,7 +62,7 @@ def join_pieces(left: list[str], right: list[str]) -> list[str]:
             starts[at] = i
             at += len(piece)
         new, end = [], 0
-        for piece in split(window):
+        for piece in split(window, pattern):
             new.append(piece)
             end += len(piece)
             if end in starts and end + _SETTLED <= len(window):
@@ -72,12 +72,13 @@ def join_pieces(left: list[str], right: list[str]) -> list[str]:
         reach *= 2
 
 
-def pieces_of(text: str) -> list[str]:
+def pieces_of(text: str, pattern: Pattern = EXACT) -> list[str]:
     """The matches of the pattern in a text, by halves."""
     if len(text) <= LEAF_CHARACTERS:
-        return split(text)
+        return split(text, pattern)
     middle = len(text) // 2
-    return join_pieces(pieces_of(text[:middle]), pieces_of(text[middle:]))
+    left, right = pieces_of(text[:middle], pattern), pieces_of(text[middle:], pattern)
+    return join_pieces(left, right, pattern)
 
 
 class Encoder:
@@ -186,7 +187,7 @@ class Codec:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and ids per text."""
-        return self._known([pieces_of(t) for t in texts])
+        return self._known(list(map(pieces_of, texts, patterns(texts))))
 
     @staticmethod
     def _strings(table, ids: np.ndarray, lengths: np.ndarray) -> list[memoryview]:

@@ -17,26 +17,45 @@ from tidegauge.llm.common import ranges, remembered, sums
 _QUICK = re.compile(
     r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 )
-_EXACT = regex.compile(public_tokenizers.PATTERN)
+#: The same for texts in Latin letters only, whose classes are short lists.
+_LATIN_END = 0x250
+_LETTERS = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+_BLANKS = r"\t-\r \x85\xa0"
+_LATIN = re.compile(
+    rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^{_BLANKS}{_LETTERS}0-9]+"
+    rf"|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
+)
+EXACT = regex.compile(public_tokenizers.PATTERN)
+Pattern = re.Pattern | regex.Pattern
+
 
+def _odd_characters() -> np.ndarray:
+    """For each code point, whether the two engines class it differently.
 
-def _odd_characters() -> re.Pattern:
-    """Characters that the two engines class differently: some numbers and separators."""
-    found = [
-        chr(c)
-        for c in range(0x110000)
-        if unicodedata.category(chr(c)) in ("No", "Nl") or 0x1C <= c <= 0x1F
+    These are some numbers and separators.
+    """
+    odd = [
+        unicodedata.category(chr(c)) in ("No", "Nl") or 0x1C <= c <= 0x1F for c in range(0x110000)
+    ]
+    return np.array(odd)
+
+
+def patterns(texts: Sequence[str]) -> list[Pattern]:
+    """For each text, a pattern that splits it just as the public one does."""
+    points = "".join(texts).encode("utf-32-le", "surrogatepass")
+    points = np.frombuffer(points, "<u4")
+    sizes = np.array([len(t) for t in texts])
+    odd = sums(remembered("odd characters", _odd_characters)[points], sizes) > 0
+    wide = sums(points >= _LATIN_END, sizes) > 0
+    return [
+        EXACT if o else _QUICK if w else _LATIN
+        for o, w in zip(odd.tolist(), wide.tolist(), strict=True)
     ]
-    return re.compile("[" + "".join(map(re.escape, found)) + "]")
 
 
-def split(text: str) -> list[str]:
-    """All matches of the public pattern, which together are the text."""
-    if text.isascii() and not any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return _QUICK.findall(text)
-    if remembered("odd characters", _odd_characters).search(text):
-        return _EXACT.findall(text)
-    return _QUICK.findall(text)
+def split(text: str, pattern: Pattern = EXACT) -> list[str]:
+    """All matches of a pattern, which together are the text."""
+    return pattern.findall(text)
 
 
 class _Places(dict):
@@ -62,7 +81,7 @@ class PieceIds:
     def __init__(
         self,
         encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-        limit: int = 1_000_000,
+        limit: int = 1_500_000,
     ) -> None:
         self._encode = encode
         self._limit = limit

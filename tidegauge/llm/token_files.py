@@ -20,6 +20,7 @@ one id that is wider. The last word of a frame may be filled up with zeros.
 from __future__ import annotations
 
 import hashlib
+import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -40,11 +41,11 @@ from tidegauge.llm.common import (
     slices,
     texts_of,
 )
-from tidegauge.llm.pieces import PieceIds, split
+from tidegauge.llm.pieces import PieceIds, patterns, split
 from tidegauge.plans.shared import new_folder
 
 FRAME = 256
-BLOCK_IDS = 1 << 16
+BLOCK_IDS = 1 << 18
 _HEAD = "<4sIQII"
 _MAGIC = b"S8B1"
 _PAYLOAD = 60
@@ -167,6 +168,7 @@ def _encoder(definition: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndar
     pieces one by one, so each distinct piece need be encoded only once. Others
     get whole texts.
     """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark spreads the work
     tokenizer = Tokenizer.from_str(definition)
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
@@ -210,7 +212,7 @@ def _encoder(definition: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndar
         return ids[ranges(starts, lengths)], lengths
 
     known = PieceIds(pieces)
-    return lambda texts: known([split(t) for t in texts])
+    return lambda texts: known(list(map(split, texts, patterns(texts))))
 
 
 def _blocks(
