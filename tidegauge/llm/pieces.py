@@ -81,7 +81,7 @@ class PieceIds:
     def __init__(
         self,
         encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-        limit: int = 1_500_000,
+        limit: int = 1_000_000,
     ) -> None:
         self._encode = encode
         self._limit = limit
@@ -91,8 +91,8 @@ class PieceIds:
         self._places = _Places()
         self._ids = np.zeros(1 << 16, np.uint32)
         self._used = 0
-        self._starts = np.zeros(1 << 14, np.int64)
-        self._lengths = np.zeros(1 << 14, np.int64)
+        self._starts = np.zeros(1 << 14, np.uint32)
+        self._lengths = np.zeros(1 << 14, np.uint32)
 
     def _learn(self) -> None:
         new, self._places.new = self._places.new, []
@@ -101,10 +101,10 @@ class PieceIds:
         ids, lengths = self._encode(new)
         first, last = len(self._places) - len(new), len(self._places)
         if last > len(self._starts):
-            self._starts = np.resize(self._starts, 2 * last)
-            self._lengths = np.resize(self._lengths, 2 * last)
+            self._starts = np.resize(self._starts, last + last // 2)
+            self._lengths = np.resize(self._lengths, last + last // 2)
         if self._used + len(ids) > len(self._ids):
-            self._ids = np.resize(self._ids, 2 * (self._used + len(ids)))
+            self._ids = np.resize(self._ids, 3 * (self._used + len(ids)) // 2)
         self._ids[self._used : self._used + len(ids)] = ids
         self._lengths[first:last] = lengths
         self._starts[first:last] = self._used + np.cumsum(lengths) - lengths
@@ -119,5 +119,5 @@ class PieceIds:
             map(self._places.__getitem__, chain.from_iterable(texts)), np.int64, counts.sum()
         )
         self._learn()
-        lengths = self._lengths[places]
+        lengths = self._lengths[places].astype(np.int64)
         return self._ids[ranges(self._starts[places], lengths)], sums(lengths, counts)

@@ -45,8 +45,9 @@ from tidegauge.llm.pieces import PieceIds, patterns, split
 from tidegauge.plans.shared import new_folder
 
 FRAME = 256
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 16
 _HEAD = "<4sIQII"
+_TOGETHER = 1_000_000
 _MAGIC = b"S8B1"
 _PAYLOAD = 60
 _ESCAPE = 15
@@ -57,8 +58,13 @@ _COUNT_OF = np.ones(16, np.int64)
 _COUNT_OF[: len(COUNTS)] = COUNTS
 
 
+_SMALL_BITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
 def _bits(ids: np.ndarray) -> np.ndarray:
     """Width of each id."""
+    if not len(ids) or ids.max() < len(_SMALL_BITS):
+        return _SMALL_BITS[ids]
     return np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
 
 
@@ -222,7 +228,7 @@ def _blocks(
     name = hashlib.sha256(definition.value.encode()).hexdigest()
     encode = remembered(("tokenizer", name), lambda: _encoder(definition.value))
     bucket, start = None, 0
-    for batch in slices(batches):
+    for batch in slices(batches, limit=_TOGETHER):
         ids, lengths = encode(texts_of(batch))
         lengths = lengths + 1
         ends = np.cumsum(lengths)
