@@ -24,6 +24,7 @@ import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
 from tidegauge.llm.common import (
     bucket_of,
@@ -48,6 +50,8 @@ FRAME = 256
 BLOCK_IDS = 1 << 16
 _HEAD = "<4sIQII"
 _TOGETHER = 1_000_000
+#: Distinct pieces that a task's memory holds.
+REMEMBERED = 700_000
 _MAGIC = b"S8B1"
 _PAYLOAD = 60
 _ESCAPE = 15
@@ -167,12 +171,23 @@ def read_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     return unpack(np.frombuffer(block, "<u8", n_words, at), first_words, n_ids), per_document
 
 
+def _visible_bytes() -> dict[int, int]:
+    """The characters that stand for bytes in a byte-level vocabulary.
+
+    Visible characters of Latin-1 stand for themselves, the other bytes for the
+    characters from 256 on.
+    """
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
 def _encoder(definition: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
     """Texts to (all ids, ids per text) with a tokenizer's JSON definition.
 
-    A byte-level tokenizer splits by the public pattern first and encodes the
-    pieces one by one, so each distinct piece need be encoded only once. Others
-    get whole texts.
+    A byte-level tokenizer splits by the public pattern first and gives the pieces
+    to its model one by one, so the model need see each distinct piece only once.
+    Other tokenizers get whole texts.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark spreads the work
     tokenizer = Tokenizer.from_str(definition)
@@ -185,39 +200,23 @@ def _encoder(definition: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndar
         return np.concatenate(flat) if flat else np.zeros(0, np.uint32), lengths
 
     kind = repr(tokenizer.pre_tokenizer).replace(" ", "")
-    line = tokenizer.encode("\n", add_special_tokens=False).ids
     by_piece = (
         tokenizer.normalizer is None
+        and isinstance(tokenizer.model, BPE)
         and kind.startswith("ByteLevel(add_prefix_space=False")
         and "use_regex=True" in kind
-        and len(line) == 1
     )
     if not by_piece:
         return whole
+    tokenize, visible = tokenizer.model.tokenize, _visible_bytes()
 
     def pieces(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        # A line feed between two pieces is a piece of its own, so many pieces are
-        # one text for the library. White space could run together with it.
-        blank = np.array([p.isspace() for p in new])
-        order = np.concatenate([np.flatnonzero(~blank), np.flatnonzero(blank)])
-        solid = [new[i] for i in order[: len(new) - int(blank.sum())]]
-        flat, lengths = [], []
-        for k in range(0, len(solid), 4000):
-            some = solid[k : k + 4000]
-            found = tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
-            ids = np.array(found[0].ids, np.uint32)
-            seams = np.flatnonzero(ids == line[0])
-            if len(seams) + 1 != len(some):
-                raise ValueError("the tokenizer does not keep line feeds apart")
-            flat.append(np.delete(ids, seams))
-            lengths.append(np.diff(seams, prepend=-1, append=len(ids)) - 1)
-        ids, own = whole([new[i] for i in order[len(solid) :]])
-        ids, own = np.concatenate([*flat, ids]), np.concatenate([*lengths, own])
-        starts, lengths = np.empty_like(own), np.empty_like(own)
-        starts[order], lengths[order] = np.cumsum(own) - own, own
-        return ids[ranges(starts, lengths)], lengths
-
-    known = PieceIds(pieces)
+        strings = [p.encode("utf-8", "surrogatepass").decode("latin-1") for p in new]
+        found = [[t.id for t in tokenize(s.translate(visible))] for s in strings]
+        lengths = np.array([len(f) for f in found], np.int64)
+        return np.fromiter(chain.from_iterable(found), np.uint32, lengths.sum()), lengths
+
+    known = PieceIds(pieces, REMEMBERED)
     return lambda texts: known(list(map(split, texts, patterns(texts))))
 
 
