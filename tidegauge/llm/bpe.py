@@ -40,7 +40,7 @@ from tidegauge.llm.pieces import EXACT, Pattern, PieceIds, patterns, split
 LEAF_CHARACTERS = 4096
 LEAF_BYTES = 6
 _SETTLED = 2
-_REMEMBERED = 150_000
+_REMEMBERED = 60_000
 
 
 def join_pieces(left: list[str], right: list[str], pattern: Pattern = EXACT) -> list[str]:

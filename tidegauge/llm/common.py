@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCH_BYTES = 2_000_000
+BATCH_BYTES = 500_000
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

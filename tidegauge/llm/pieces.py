@@ -81,7 +81,7 @@ class PieceIds:
     def __init__(
         self,
         encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]],
-        limit: int = 400_000,
+        limit: int = 150_000,
     ) -> None:
         self._encode = encode
         self._limit = limit

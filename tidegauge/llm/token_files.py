@@ -46,10 +46,10 @@ from tidegauge.llm.common import (
 from tidegauge.llm.pieces import PieceIds, patterns, split
 from tidegauge.plans.shared import new_folder
 
-FRAME = 256
-BLOCK_IDS = 1 << 16
+FRAME = 128
+BLOCK_IDS = 1 << 18
 _HEAD = "<4sIQII"
-_TOGETHER = 1_000_000
+_TOGETHER = 2_000_000
 #: Distinct pieces that a task's memory holds.
 REMEMBERED = 700_000
 _MAGIC = b"S8B1"
