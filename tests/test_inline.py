@@ -257,3 +257,27 @@ def test_sink_columns_match_by_position(spark):
     frame = spark.sql("SELECT 1 AS a, 2 AS b")
     with pytest.raises(ValueError):
         as_schema(frame, REPORT)
+
+
+def test_amounts_that_are_no_numbers_give_no_alert(spark):
+    amounts = ["1000.5", "NaN", "1000.5d", "1e9999", " 2e3 ", "inf", None, "x"]
+    rows = [(str(i), a) for i, a in enumerate(amounts)]
+    frame = spark.createDataFrame(rows, "transaction_id string, amount string")
+    found = {r[0].split()[-1] for r in threshold_alerts(frame).collect()}
+    assert found == {"0", "3", "4", "5"}
+
+
+def test_extremes_are_rounded_once(spark):
+    from tidegauge.operators.windows import tumbling_statistics
+
+    frame = spark.sql("SELECT 'a' AS c, timestamp'2024-01-01 00:00:00' AS t, 10.0499999D AS v")
+    row = tumbling_statistics(frame, "c", "t", "v").first()
+    assert (row["maxReading"], row["minReading"]) == (10.0, 10.0)
+
+
+def test_times_beyond_a_timestamp_are_null(spark):
+    from tidegauge.functions.expressions import epoch_micros, instant
+
+    frame = spark.createDataFrame([(2**63 - 1,), (-(2**63),), (60_000,)], "ms long")
+    rows = frame.select(instant("ms").isNull(), epoch_micros("ms")).collect()
+    assert [tuple(r) for r in rows] == [(True, None), (True, None), (False, 60_000_000)]

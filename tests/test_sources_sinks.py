@@ -125,3 +125,23 @@ def test_copies_go_to_the_shared_folder(spark):
     frame = spark.range(10).withColumn("x", F.col("id") * 2)
     assert pinned(frame).count() == stored(frame).count() == 10
     assert shared_folder(spark) in stored(frame).inputFiles()[0]
+
+
+def test_insert_goes_by_position(spark):
+    from tidegauge.sinks.writers import insert_into
+
+    spark.sql("CREATE TABLE IF NOT EXISTS kept_rows (a BIGINT, b STRING) USING parquet")
+    try:
+        insert_into(spark.sql("SELECT 7 AS x, 8.5D AS y"), "kept_rows")
+        assert [tuple(r) for r in spark.table("kept_rows").collect()] == [(7, "8.5")]
+    finally:
+        spark.sql("DROP TABLE kept_rows")
+
+
+def test_table_streams_read_folders(spark, tmp_path):
+    from tidegauge.sources.tables import table_stream
+    from tidegauge.streaming.drain import drained
+
+    spark.range(40).repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    for cap in (1, 2, 1000):
+        assert drained(table_stream(spark, str(tmp_path), "events", cap)).count() == 40

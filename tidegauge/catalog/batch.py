@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tidegauge.functions.udfs import register_doubling, select_with
 from tidegauge.operators import transforms
-from tidegauge.operators.alerts import decoded_transactions, threshold_alerts
+from tidegauge.operators.alerts import alert_text, decoded_transactions, threshold_alerts
 from tidegauge.operators.gaps import gap_filter
 from tidegauge.operators.rolling import delayed_running_sum, idle_reset_sum, running_sum
 from tidegauge.operators.throttle import throttle
@@ -39,8 +39,8 @@ _STATISTICS_SQL = """
     1.0::DOUBLE AS hourly_frequency,
     count(value) AS "totalReadings",
     round(round(avg(value), 6), 1) AS "averageReading",
-    round(round(max(value), 6), 1) AS "maxReading",
-    round(round(min(value), 6), 1) AS "minReading",
+    round(max(value), 1) AS "maxReading",
+    round(min(value), 1) AS "minReading",
     round(round(stddev_samp(value), 6), 1) AS "stdReading"
 """
 
@@ -217,6 +217,22 @@ def lag_gap_global(spark, folder):
     return gap_filter(events, [], "ts", ["event_id"])
 
 
+@query(
+    """
+    SELECT event_id, user_id, "timestamp", last_recorded_timestamp FROM (
+        SELECT *, lag("timestamp") OVER (PARTITION BY user_id ORDER BY "timestamp", event_id)
+            AS last_recorded_timestamp
+        FROM (SELECT event_id, user_id, epoch_us(ts) // 1000 AS "timestamp" FROM events))
+    WHERE "timestamp" - last_recorded_timestamp >= 60000
+    """
+)
+def lag_gap_epoch_ms(spark, folder):
+    """The gap filter on whole epoch milliseconds, as sensors send them."""
+    events = table(spark, folder, "events")
+    at = F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp")
+    return gap_filter(events.select("event_id", "user_id", at), ["user_id"], "timestamp", ["event_id"])
+
+
 ALERT_SQL = """
     SELECT 'Suspicious Transaction: ' || event_id AS fraud_result FROM events WHERE value > 100.0
 """
@@ -228,6 +244,14 @@ def alert_threshold(spark, folder):
     return threshold_alerts(events, "event_id", "value", FIXTURE_THRESHOLD)
 
 
+@query(ALERT_SQL)
+def alert_text_filter(spark, folder):
+    """Alert texts of all rows, empty where there is nothing to report, and the rest of them."""
+    events = table(spark, folder, "events")
+    text = alert_text("event_id", "value", FIXTURE_THRESHOLD).alias("fraud_result")
+    return events.select(text).where("fraud_result <> ''")
+
+
 @query(ALERT_SQL.replace("fraud_result", '"value"'))
 def alert_json(spark, folder):
     """Alerts out of JSON transactions, as the text the sink writes."""

@@ -35,8 +35,8 @@ def _measurements(spark, folder, channel):
             1.0::DOUBLE AS hourly_frequency,
             count(value) AS "totalReadings",
             round(round(avg(value), 6), 1) AS "averageReading",
-            round(round(max(value), 6), 1) AS "maxReading",
-            round(round(min(value), 6), 1) AS "minReading",
+            round(max(value), 1) AS "maxReading",
+            round(min(value), 1) AS "minReading",
             round(round(stddev_samp(value), 6), 1) AS "stdReading",
             string_agg(value::VARCHAR, ',' ORDER BY ms, value) AS "readingsList"
         FROM measured GROUP BY ALL)

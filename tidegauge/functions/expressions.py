@@ -10,15 +10,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
+_MOST_MILLIS = (2**63 - 1) // 1000
+#: What counts as a number in text: no type suffixes, but signs and exponents.
+_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+
+
 def instant(epoch_ms: str | Column) -> Column:
-    """Epoch milliseconds as a zoned timestamp."""
-    return F.timestamp_millis(F.col(epoch_ms) if isinstance(epoch_ms, str) else epoch_ms)
+    """Epoch milliseconds as a zoned timestamp; NULL beyond what a timestamp holds."""
+    value = F.col(epoch_ms) if isinstance(epoch_ms, str) else epoch_ms
+    return F.when(value.between(-_MOST_MILLIS, _MOST_MILLIS), F.timestamp_millis(value))
 
 
 def epoch_micros(time: str | Column) -> Column:
-    """Microseconds since the epoch; a zone-less timestamp is read in the session zone."""
+    """Microseconds since the epoch.
+
+    Whole numbers are epoch milliseconds; a zone-less timestamp is read in the
+    session zone. The type is known when the query is planned, so one branch stays.
+    """
     time = F.col(time) if isinstance(time, str) else time
-    return F.unix_micros(time.cast("timestamp"))
+    whole = F.typeof(time).isin(*_WHOLE_NUMBERS)
+    millis = time.cast("string").try_cast("bigint")
+    return F.when(whole, F.try_multiply(millis, F.lit(1000).cast("bigint"))).otherwise(
+        F.unix_micros(time.cast("timestamp"))
+    )
 
 
 def micros(duration: timedelta) -> int:
@@ -42,9 +57,10 @@ def stable_round(value: Column, digits: int = 1) -> Column:
 
 
 def readable_number(value: str | Column) -> Column:
-    """Text as a double; NULL for text that is not a number."""
+    """Text as a double; NULL for text that is not a number. Numbers are taken as they are."""
     value = F.col(value) if isinstance(value, str) else value
-    return value.try_cast("double")
+    readable = (F.typeof(value) != "string") | value.cast("string").rlike(_NUMBER)
+    return F.when(readable, value.try_cast("double"))
 
 
 def same_key(left: Sequence[Column], right: Sequence[Column]) -> Column:

@@ -13,6 +13,12 @@ THRESHOLD = 1000.0
 PREFIX = "Suspicious Transaction: "
 
 
+def _exceeds(amount: str | Column, threshold: float) -> Column:
+    """Whether an amount is above the threshold; NaN is not."""
+    number = readable_number(amount)
+    return (number > threshold) & ~F.isnan(number)
+
+
 def alert_text(
     transaction_id: str | Column, amount: str | Column, threshold: float = THRESHOLD
 ) -> Column:
@@ -22,7 +28,7 @@ def alert_text(
     """
     name = F.col(transaction_id) if isinstance(transaction_id, str) else transaction_id
     text = F.concat(F.lit(PREFIX), name.cast("string"))
-    return F.when(readable_number(amount) > threshold, F.coalesce(text, F.lit(""))).otherwise("")
+    return F.when(_exceeds(amount, threshold), F.coalesce(text, F.lit(""))).otherwise("")
 
 
 def threshold_alerts(
@@ -37,7 +43,7 @@ def threshold_alerts(
     the columns instead of the text, so that a numeric amount is compared in
     the scan.
     """
-    suspicious = (readable_number(amount) > threshold) & F.col(transaction_id).isNotNull()
+    suspicious = _exceeds(amount, threshold) & F.col(transaction_id).isNotNull()
     text = F.concat(F.lit(PREFIX), F.col(transaction_id).cast("string"))
     return frame.where(suspicious).select(text.alias("fraud_result"))
 

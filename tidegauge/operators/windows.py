@@ -34,8 +34,8 @@ def _statistics(value: str) -> dict[str, Column]:
     return {
         "totalReadings": F.count(value),
         "averageReading": stable_round(F.avg(value)),
-        "maxReading": stable_round(F.max(value)),
-        "minReading": stable_round(F.min(value)),
+        "maxReading": F.round(F.max(value), 1),
+        "minReading": F.round(F.min(value), 1),
         "stdReading": stable_round(F.stddev_samp(value)),
     }
 

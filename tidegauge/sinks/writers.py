@@ -93,5 +93,12 @@ def to_console(frame: DataFrame, checkpoint: str, **options) -> StreamingQuery:
 
 
 def insert_into(frame: DataFrame, name: str, kind: str = "parquet") -> None:
-    """Append a table's rows to a named table, which is made if it is missing."""
-    frame.write.mode("append").format(kind).saveAsTable(name)
+    """Append a table's rows to a named table, which is made if it is missing.
+
+    Columns go to the table's columns by position and are cast to their types.
+    """
+    spark = frame.sparkSession
+    if not spark.catalog.tableExists(name):
+        frame.write.format(kind).saveAsTable(name)
+        return
+    as_schema(frame, spark.table(name).schema).write.insertInto(name)
