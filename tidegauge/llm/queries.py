@@ -117,4 +117,95 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_TOP_K_SQL = f"""
+    WITH whole AS (
+        SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+        FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % {EVERY} = 0)
+    SELECT query_id, (row_number() OVER best)::INTEGER AS rank, vec_id, score FROM scored
+    WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+    QUALIFY rank <= 10
+"""
+
+_LINES_SQL = f"""
+    WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+    placed AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM split),
+    units AS (
+        SELECT *, trim(regexp_replace(lower(line), '[\\x09-\\x0D\\x20]+', ' ', 'g')) AS unit,
+            sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY place) - 1 AS stop
+        FROM placed),
+    ranked AS (
+        SELECT *, len(string_split(unit, ' ')) >= {line_dedup.MIN_WORDS} AS long,
+            row_number() OVER same AS nth, first_value(doc_id) OVER same AS first_id
+        FROM units WINDOW same AS (PARTITION BY unit ORDER BY doc_id, place)),
+    decided AS (SELECT *, long AND nth > 1 AS gone FROM ranked),
+    joined AS (
+        SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+            coalesce(string_agg((stop - length(line))::BIGINT || '-' || stop::BIGINT, ','
+                ORDER BY place) FILTER (gone), '') AS removed,
+            coalesce(string_agg(first_id::VARCHAR, ',' ORDER BY place) FILTER (gone), '')
+                AS first_ids,
+            coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text
+        FROM decided GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed,
+        coalesce(first_ids, '') AS first_ids, CASE WHEN d.text IS NOT NULL THEN j.text END AS text
+    FROM documents d LEFT JOIN joined j USING (doc_id)
+"""
+
+
+def _listed(pairs: tuple[tuple[str, str], ...]) -> str:
+    return ", ".join(f"('{words}', '{label}')" for words, label in pairs)
+
+
+_WORDS_SQL = (
+    "[w FOR w IN string_split_regex({}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') IF w <> '']"
+)
+
+_LICENSES_SQL = f"""
+    WITH read AS (
+        SELECT doc_id, text, {_WORDS_SQL.format("lower(coalesce(text, ''))")} AS words
+        FROM documents),
+    phrases AS (
+        SELECT string_split(words, ' ') AS phrase, label
+        FROM (VALUES {_listed(licenses.PHRASES)}) t(words, label)),
+    templates AS (
+        SELECT list_distinct(string_split(words, ' ')) AS template, label
+        FROM (VALUES {_listed(licenses.TEMPLATES)}) t(words, label)),
+    tokens AS (
+        SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS place FROM read),
+    runs AS (
+        SELECT doc_id, place, [word, lead(word) OVER later, lead(word, 2) OVER later] AS run
+        FROM tokens WINDOW later AS (PARTITION BY doc_id ORDER BY place)),
+    placed AS (
+        SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+            list(DISTINCT label) AS base
+        FROM runs JOIN phrases ON run[:len(phrase)] = phrase GROUP BY doc_id),
+    lines AS (
+        SELECT doc_id, {_WORDS_SQL.format("lower(line)")} AS words
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+    held AS (
+        SELECT doc_id, label, len(list_intersect(template, list_distinct(words))) AS common,
+            len(template) AS size
+        FROM lines, templates),
+    matched AS (
+        SELECT doc_id, max(common / size) AS best, list(DISTINCT label) AS more
+        FROM held WHERE common >= ceil({licenses.THRESHOLD} * size - 1e-9) GROUP BY doc_id)
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base,
+        first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+        coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,
+        coalesce(array_to_string(list_sort(list_distinct(
+            list_concat(coalesce(base, []), coalesce(more, [])))), ','), '') AS labels,
+        CASE WHEN base IS NOT NULL THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
+    FROM read LEFT JOIN placed USING (doc_id) LEFT JOIN matched USING (doc_id)
+"""
+
+#: SQL with the same rows; trained models, BPE, fingerprints and the mix have none.
+ORACLES: dict[str, str] = {
+    "op2_top_k": _TOP_K_SQL,
+    "op8_line_dedup": _LINES_SQL,
+    "op10_licenses": _LICENSES_SQL,
+}
