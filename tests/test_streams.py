@@ -15,13 +15,19 @@ from tidegauge.operators.throttle import throttle
 from tidegauge.operators.windows import tumbling_report
 from tidegauge.sinks.writers import stream_writer, to_files, to_table
 from tidegauge.sources.measurements import decoded_measurements
+from tidegauge.sources.tables import table_stream
 from tidegauge.sources.text import message_file_stream, message_files
 from tidegauge.streaming import carried, jobs
-from tidegauge.streaming.drain import drained
+from tidegauge.streaming.drain import drained, drained_to_the_end, run_to_the_end
 
 BASE = 1_700_000_100_000  # 2023-11-14 22:15:00 UTC
 
 
+def clock(seconds):
+    """Times from 1970-01-02 on: what is not behind the epoch is late to any watermark."""
+    return instant((F.col(seconds) + 86_400) * 1000)
+
+
 def message(channel, value, offset):
     return json.dumps({"channel_id": channel, "channel_value": value, "timestamp": BASE + offset})
 
@@ -52,7 +58,7 @@ def timed_rows(spark, folder, files):
     frame = spark.readStream.schema("k string, s bigint, v double, id bigint")
     path = write_files(folder, {n: [json.dumps(r) for r in rows] for n, rows in files.items()})
     stream = frame.option("maxFilesPerTrigger", 1).json(path)
-    return stream.withColumn("at", instant(F.col("s") * 1000)), path
+    return stream.withColumn("at", clock("s")), path
 
 
 def in_thirds(rows):
@@ -119,7 +125,8 @@ def test_two_jobs_on_one_source(spark, tmp_path):
     second.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "report")).count() == 3
     kept = spark.read.parquet(str(tmp_path / "cleaned")).select("channel_id", "channel_value")
-    assert sorted(map(tuple, kept.collect())) == [("1", 10.0), ("1", 30.0), ("2", 5.0), ("2", 7.0)]
+    # The newest row still waits for the watermark.
+    assert sorted(map(tuple, kept.collect())) == [("1", 10.0), ("1", 30.0), ("2", 5.0)]
 
 
 def test_ascending_counts_drop_late_rows(spark, tmp_path):
@@ -139,48 +146,141 @@ def test_ascending_counts_drop_late_rows(spark, tmp_path):
     }
 
 
+def shuffled(rows):
+    """Rows in no order of time, in three files."""
+    return in_thirds([rows[(i * 37) % len(rows)] for i in range(len(rows))])
+
+
+WHOLE_SPAN = timedelta(hours=2)
+READINGS_SCHEMA = "k string, s bigint, v double, id bigint"
+
+
+@pytest.mark.parametrize("files", [in_thirds(READINGS), shuffled(READINGS)])
 @pytest.mark.parametrize("rule", ["throttle", "gap", "sum"])
-def test_state_over_several_batches_equals_the_table(spark, tmp_path, rule):
-    stream, path = timed_rows(spark, tmp_path / "in", in_thirds(READINGS))
-    table = spark.read.schema("k string, s bigint, v double, id bigint").json(path)
-    table = table.withColumn("at", instant(F.col("s") * 1000))
-    if rule == "throttle":
-        expected = throttle(table, ["k"], "at", ["id"])
-        streamed = jobs.throttle_stream(stream, ["k"], "at", ["id"])
-    elif rule == "gap":
-        expected = gap_filter(table, ["k"], "at", ["id"])
-        streamed = jobs.gap_stream(stream, ["k"], "at", ["id"])
-    else:
-        expected = running_sum(table, ["k"], ["at", "id"], "v", "total")
-        streamed = jobs.running_sum_stream(stream, ["k"], "at", ["id"], "v", "total")
-    assert streamed.schema == expected.schema or rule != "sum"
-    found = drained(streamed).select(*expected.columns)
+def test_state_over_several_batches_equals_the_table(spark, tmp_path, rule, files):
+    stream, path = timed_rows(spark, tmp_path / "in", files)
+    table = spark.read.schema(READINGS_SCHEMA).json(path)
+    table = table.withColumn("at", clock("s"))
+    expected, streamed = {
+        "throttle": (
+            throttle(table, ["k"], "at", ["id"]),
+            lambda s: jobs.throttle_stream(s, ["k"], "at", ["id"], lateness=WHOLE_SPAN),
+        ),
+        "gap": (
+            gap_filter(table, ["k"], "at", ["id"]),
+            lambda s: jobs.gap_stream(s, ["k"], "at", ["id"], lateness=WHOLE_SPAN),
+        ),
+        "sum": (
+            running_sum(table, ["k"], ["at", "id"], "v", "total"),
+            lambda s: jobs.running_sum_stream(
+                s, ["k"], "at", ["id"], "v", "total", lateness=WHOLE_SPAN
+            ),
+        ),
+    }[rule]
+    assert streamed(stream).schema == expected.schema or rule != "sum"
+    found = drained_to_the_end(stream, "at", streamed).select(*expected.columns)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
 
 
+@pytest.mark.parametrize("files", [in_thirds(READINGS), shuffled(READINGS)])
 @pytest.mark.parametrize("rule", ["throttle", "gap", "sum"])
-def test_carried_rows_over_several_batches_equal_the_table(spark, tmp_path, rows_per_task, rule):
-    stream, path = timed_rows(spark, tmp_path / "in", in_thirds(READINGS))
-    table = spark.read.schema("k string, s bigint, v double, id bigint").json(path)
-    table = table.withColumn("at", instant(F.col("s") * 1000))
+def test_carried_rows_over_several_batches_equal_the_table(
+    spark, tmp_path, rows_per_task, rule, files
+):
+    stream, path = timed_rows(spark, tmp_path / "in", files)
+    table = spark.read.schema(READINGS_SCHEMA).json(path)
+    table = table.withColumn("at", clock("s"))
     out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
-    if rule == "throttle":
-        expected = throttle(table, ["k"], "at", ["id"])
-        rows_per_task(15)
-        query = carried.throttle_in_batches(stream, ["k"], "at", ["id"], out, progress)
-    elif rule == "gap":
-        expected = gap_filter(table, ["k"], "at", ["id"])
-        rows_per_task(15)
-        query = carried.gap_in_batches(stream, ["k"], "at", ["id"], out, progress)
-    else:
-        expected = running_sum(table, ["k"], ["at", "id"], "v", "total")
-        rows_per_task(15)
-        query = carried.running_sum_in_batches(
-            stream, ["k"], ["at", "id"], "v", "total", out, progress
-        )
+    expected, start = {
+        "throttle": (
+            throttle(table, ["k"], "at", ["id"]),
+            lambda s: carried.throttle_in_batches(
+                s, ["k"], "at", ["id"], out, progress, lateness=WHOLE_SPAN
+            ),
+        ),
+        "gap": (
+            gap_filter(table, ["k"], "at", ["id"]),
+            lambda s: carried.gap_in_batches(
+                s, ["k"], "at", ["id"], out, progress, lateness=WHOLE_SPAN
+            ),
+        ),
+        "sum": (
+            running_sum(table, ["k"], ["at", "id"], "v", "total"),
+            lambda s: carried.running_sum_in_batches(
+                s, ["k"], "at", ["id"], "v", "total", out, progress, lateness=WHOLE_SPAN
+            ),
+        ),
+    }[rule]
+    rows = sorted(map(tuple, expected.collect()))
+    rows_per_task(15)
+    run_to_the_end(stream, "at", start)
+    # What no commit vouches for is no result.
+    expected.limit(1).write.parquet(f"{out}/rows/999")
+    found = carried.results(spark, out, progress, expected.schema)
+    assert sorted(map(tuple, found.collect())) == rows
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 2, 1000])
+def test_throttle_does_not_depend_on_the_size_of_batches(spark, events, tmp_path, files_per_batch):
+    events.orderBy(F.hash("event_id")).repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    stream = table_stream(spark, str(tmp_path), "events", files_per_batch)
+    found = drained_to_the_end(
+        stream,
+        "ts",
+        lambda s: jobs.throttle_stream(
+            s, ["event_type"], "ts", ["event_id"], timedelta(hours=6), timedelta(days=60)
+        ),
+    )
+    expected = throttle(events, ["event_type"], "ts", ["event_id"], timedelta(hours=6))
+    assert sorted(r.event_id for r in found.collect()) == sorted(
+        r.event_id for r in expected.collect()
+    )
+
+
+def test_gap_looks_at_the_latest_row_before(spark, tmp_path):
+    rows = [{"k": "a", "s": s, "v": 0.0, "id": s} for s in (0, 90, 50, 100)]
+    stream, _ = timed_rows(spark, tmp_path / "in", {1: rows[:2], 2: rows[2:]})
+    gap = timedelta(seconds=45)
+    found = drained_to_the_end(
+        stream,
+        "at",
+        lambda s: jobs.gap_stream(s, ["k"], "at", ["id"], gap, lateness=timedelta(seconds=60)),
+    )
+    assert [r.s for r in found.collect()] == [50]
+
+
+def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+    rows = [{"k": "a", "s": s, "v": 0.0, "id": s} for s in (1000, 2000, 3000, 10, 4000)]
+    # A row is late against the watermark of the micro-batch before its own.
+    files = {1: rows[:2], 2: rows[2:3], 3: rows[3:4], 4: rows[4:]}
+    stream, _ = timed_rows(spark, tmp_path / "in", files)
+    kept = jobs.throttle_stream(stream, ["k"], "at", ["id"])
+    with jobs.keyed_state(spark):
+        query = to_files(kept, str(tmp_path / "out"), str(tmp_path / "progress"))
     query.awaitTermination()
-    found = carried.results(spark, out, expected.schema)
-    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    dropped = [p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress]
+    assert sum(dropped) == 1
+    found = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(r.s for r in found) == [1000, 2000, 3000]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(20,2)", "double"])
+def test_running_sum_keeps_the_type_and_is_exact(spark, tmp_path, kind):
+    values = [2**53, 1, 1] if kind != "double" else [float("nan"), 1, None]
+    frame = spark.createDataFrame(
+        [("a", s, str(v) if v is not None else None) for s, v in enumerate(values)],
+        "k string, s bigint, v string",
+    ).select("k", "s", F.col("v").cast(kind).alias("v"), clock("s").alias("at"))
+    frame = frame.withColumn("raw", F.encode("k", "UTF-8")).withColumn("list", F.array("s"))
+    frame = frame.withColumn("day", F.to_date("at"))
+    frame.write.parquet(f"{tmp_path}/sums.parquet")
+    stream = table_stream(spark, str(tmp_path), "sums", 1)
+    expected = running_sum(frame, ["k"], ["at", "s"], "v", "total")
+    found = drained_to_the_end(
+        stream, "at", lambda s: jobs.running_sum_stream(s, ["k"], "at", ["s"], "v", "total")
+    )
+    assert found.schema["total"].dataType == expected.schema["total"].dataType
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
 
 
 def test_timers_report_the_sum(spark, tmp_path):

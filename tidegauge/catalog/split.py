@@ -15,11 +15,13 @@ from pyspark.sql import types as T
 
 from tidegauge.catalog import batch
 from tidegauge.catalog.registry import query
+from tidegauge.catalog.streams import EVENTS_DISORDER
 from tidegauge.operators.windows import readings_list
 from tidegauge.plans.shared import new_folder
 from tidegauge.plans.skew import ROWS_PER_TASK
 from tidegauge.sources.tables import table, table_stream
 from tidegauge.streaming import carried
+from tidegauge.streaming.drain import run_to_the_end
 
 _SHARE = 16
 
@@ -87,37 +89,52 @@ def _event_stream(spark, folder, *columns):
     return table_stream(spark, folder, "events").select("event_id", "event_type", "ts", *columns)
 
 
+def _carried_rows(spark, stream, schema, start):
+    """The rows of ``start(stream, folder, checkpoint)``, run to the end under small tasks."""
+    out, progress = new_folder(spark, "carried"), new_folder(spark, "progress")
+    run_to_the_end(stream, "ts", lambda whole: start(whole, out, progress))
+    return carried.results(spark, out, progress, schema)
+
+
 @query(batch.throttle_sql("event_type", "6 HOUR"))
 def stream_throttle_split(spark, folder):
-    stream, out = _event_stream(spark, folder, "value"), new_folder(spark, "carried")
+    stream = _event_stream(spark, folder, "value")
+
+    def start(rows, out, progress):
+        return carried.throttle_in_batches(
+            rows, ["event_type"], "ts", ["event_id"], out, progress,
+            timedelta(hours=6), EVENTS_DISORDER,
+        )
+
     with small_tasks(spark, table(spark, folder, "events")):
-        carried.throttle_in_batches(
-            stream, ["event_type"], "ts", ["event_id"],
-            out, new_folder(spark, "progress"), timedelta(hours=6),
-        ).awaitTermination()
-    return carried.results(spark, out, stream.schema)
+        return _carried_rows(spark, stream, stream.schema, start)
 
 
 @query(batch.gap_sql("event_type"))
 def stream_lag_gap_split(spark, folder):
-    stream, out = _event_stream(spark, folder), new_folder(spark, "carried")
-    with small_tasks(spark, table(spark, folder, "events")):
-        carried.gap_in_batches(
-            stream, ["event_type"], "ts", ["event_id"], out, new_folder(spark, "progress")
-        ).awaitTermination()
+    stream = _event_stream(spark, folder)
     before = T.StructField("last_recorded_timestamp", T.TimestampNTZType())
-    schema = T.StructType([*stream.schema, before])
-    return carried.results(spark, out, schema)
+
+    def start(rows, out, progress):
+        return carried.gap_in_batches(
+            rows, ["event_type"], "ts", ["event_id"], out, progress, lateness=EVENTS_DISORDER
+        )
+
+    with small_tasks(spark, table(spark, folder, "events")):
+        return _carried_rows(spark, stream, T.StructType([*stream.schema, before]), start)
 
 
 @query(batch.rolling_sql("event_type"))
 def stream_rolling_sum_split(spark, folder):
-    stream, out = _event_stream(spark, folder, "value"), new_folder(spark, "carried")
+    stream = _event_stream(spark, folder, "value")
+    total = T.StructField("total", T.DoubleType())
+
+    def start(rows, out, progress):
+        return carried.running_sum_in_batches(
+            rows, ["event_type"], "ts", ["event_id"], "value", "total", out, progress,
+            EVENTS_DISORDER,
+        )
+
     with small_tasks(spark, table(spark, folder, "events")):
-        carried.running_sum_in_batches(
-            stream, ["event_type"], ["ts", "event_id"], "value", "total",
-            out, new_folder(spark, "progress"),
-        ).awaitTermination()
-    schema = T.StructType([*stream.schema, T.StructField("total", T.DoubleType())])
-    summed = carried.results(spark, out, schema)
+        summed = _carried_rows(spark, stream, T.StructType([*stream.schema, total]), start)
     return summed.select("event_id", "event_type", F.round("total", 2).alias("total"))

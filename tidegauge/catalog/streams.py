@@ -14,7 +14,10 @@ from tidegauge.sinks.writers import alert_messages, json_messages, read_back, re
 from tidegauge.sources.measurements import decoded_measurements, encoded_measurements
 from tidegauge.sources.tables import table_stream
 from tidegauge.streaming import jobs
-from tidegauge.streaming.drain import drained
+from tidegauge.streaming.drain import drained, drained_to_the_end
+
+# A table's files may come in any order of time: no event is later than this.
+EVENTS_DISORDER = timedelta(days=366)
 
 
 def _measurements(spark, folder, channel):
@@ -69,23 +72,34 @@ def stream_tumble_count(spark, folder):
 @query(batch.throttle_sql("user_id", "6 HOUR"))
 def stream_throttle(spark, folder):
     events = table_stream(spark, folder, "events").select("event_id", "user_id", "ts", "value")
-    return drained(
-        jobs.throttle_stream(events, ["user_id"], "ts", ["event_id"], timedelta(hours=6))
+    gap = timedelta(hours=6)
+    return drained_to_the_end(
+        events,
+        "ts",
+        lambda e: jobs.throttle_stream(e, ["user_id"], "ts", ["event_id"], gap, EVENTS_DISORDER),
     )
 
 
 @query(batch.gap_sql("user_id"))
 def stream_lag_gap(spark, folder):
     events = table_stream(spark, folder, "events").select("event_id", "user_id", "ts")
-    return drained(jobs.gap_stream(events, ["user_id"], "ts", ["event_id"]))
+    return drained_to_the_end(
+        events,
+        "ts",
+        lambda e: jobs.gap_stream(e, ["user_id"], "ts", ["event_id"], lateness=EVENTS_DISORDER),
+    )
 
 
 @query(batch.rolling_sql("user_id"))
 def stream_rolling_sum(spark, folder):
     events = table_stream(spark, folder, "events").select("event_id", "user_id", "ts", "value")
-    summed = drained(
-        jobs.running_sum_stream(events, ["user_id"], "ts", ["event_id"], "value", "total")
-    )
+
+    def rule(rows):
+        return jobs.running_sum_stream(
+            rows, ["user_id"], "ts", ["event_id"], "value", "total", lateness=EVENTS_DISORDER
+        )
+
+    summed = drained_to_the_end(events, "ts", rule)
     return summed.select("event_id", "user_id", F.round("total", 2).alias("total"))
 
 

@@ -83,3 +83,10 @@ def as_schema(frame, schema: T.StructType):
             for source, field in zip(frame.columns, schema.fields, strict=True)
         ]
     )
+
+
+def sum_type(kind: T.DataType) -> T.DataType:
+    """The type of SUM over values of ``kind``."""
+    if isinstance(kind, T.DecimalType):
+        return T.DecimalType(min(38, kind.precision + 10), kind.scale)
+    return T.LongType() if isinstance(kind, T.IntegralType) else T.DoubleType()

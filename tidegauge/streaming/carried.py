@@ -1,15 +1,19 @@
 """Rules for streams with channels too large for one task of keyed state.
 
-Keyed state sends all rows a key has in a micro-batch to one task.  Here every
+Keyed state handles the waiting rows of one key in one task.  Here every
 micro-batch goes through the batch operator instead, which splits large keys,
 and one row per key is carried to the next micro-batch in a table.  The whole
 table is rewritten each time, so this suits streams of few, heavy channels; for
 very many channels use the keyed state of ``jobs``.
 
-Results are written under the number of their micro-batch, and the carried rows
+Rows wait in a table until ``lateness`` has passed behind them in event time, so
+that micro-batches are cut in the order of time, however the rows came.  Rows
+that are later than that, or have no time, are left out.
+
+Results are written under the number of their micro-batch, and what is carried
 to two folders in turn.  A micro-batch that is repeated after a failure reads
-what the one before it carried and overwrites its own files, so each result is
-there once.
+what the one before it carried and overwrites its own files; only micro-batches
+that the checkpoint has committed are read as results.
 """
 
 from __future__ import annotations
@@ -22,42 +26,53 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegauge.functions.expressions import epoch_micros, micros, same_key
+from tidegauge.functions.expressions import epoch_micros, micros, same_key, sum_type
 from tidegauge.operators.gaps import DEFAULT_GAP as LAG_GAP
 from tidegauge.operators.gaps import with_previous
 from tidegauge.operators.rolling import running_sum
 from tidegauge.operators.throttle import DEFAULT_GAP as THROTTLE_GAP
 from tidegauge.operators.throttle import throttle
+from tidegauge.plans.shared import pinned
 from tidegauge.sinks.writers import stream_writer
+from tidegauge.streaming.jobs import ORDER_LATENESS
 
 _CARRIED = "_carried"
 _ADAPTIVE = "spark.sql.adaptive.enabled"
 
 
-def results(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """All result rows that a query wrote below ``folder`` so far."""
-    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{folder}/rows")
+def results(spark: SparkSession, folder: str, checkpoint: str, schema: T.StructType) -> DataFrame:
+    """The result rows below ``folder`` of all micro-batches committed in ``checkpoint``."""
+    commits = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = commits.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(commits)]
+    rows = [f"{folder}/rows/{name}" for name in names if name.isdigit()]
+    if not rows:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*rows)
 
 
 def _in_batches(
     stream: DataFrame,
     keys: Sequence[str],
+    time: str,
     kind: T.DataType,
     rule: Callable[[DataFrame], DataFrame],
     carry: Callable[[DataFrame, DataFrame], DataFrame],
     merge: Callable[[str], Column],
     folder: str,
     checkpoint: str,
+    lateness: timedelta,
     **options,
 ) -> StreamingQuery:
-    """Apply ``rule`` to every micro-batch and ``carry`` to it and its result.
+    """Apply ``rule`` to the rows whose time has come and ``carry`` to them and the result.
 
     ``rule`` gets the rows with their key's carried value in ``_carried``.
-    ``carry`` gives the micro-batch's own (keys, _carried); ``merge`` aggregates
-    a key's old and new value to the one that is carried on.
+    ``carry`` gives the rows' own (keys, _carried); ``merge`` aggregates a key's
+    old and new value to the one that is carried on.
     """
     key_fields = [stream.schema[k] for k in keys]
     carried_schema = T.StructType([*key_fields, T.StructField(_CARRIED, kind)])
+    passed_schema = T.StructType([T.StructField("passed", T.LongType())])
 
     def step(batch: DataFrame, number: int) -> None:
         # A stream plans without runtime statistics; the work on one micro-batch
@@ -71,24 +86,39 @@ def _in_batches(
             spark.conf.set(_ADAPTIVE, planned)
 
     def apply(spark: SparkSession, batch: DataFrame, number: int) -> None:
-        if number == 0:
-            carried = spark.createDataFrame([], carried_schema)
-        else:
-            before = f"{folder}/carried/{(number - 1) % 2}"
-            carried = spark.read.schema(carried_schema).parquet(before)
-        here = f"{folder}/rows/{number}"
-        same = same_key([batch[k] for k in keys], [carried[k] for k in keys])
-        known = batch.join(carried, same, "left").select(batch["*"], carried[_CARRIED])
+        def before(what: str, schema: T.StructType) -> DataFrame:
+            if number == 0:
+                return spark.createDataFrame([], schema)
+            return spark.read.schema(schema).parquet(f"{folder}/{what}/{(number - 1) % 2}")
+
+        def carry_on(what: str, frame: DataFrame) -> None:
+            frame.write.mode("overwrite").parquet(f"{folder}/{what}/{number % 2}")
+
+        at = epoch_micros(time)
+        earlier = before("passed", passed_schema).agg(F.max("passed")).first()[0]
+        in_time = batch.where(at.isNotNull() if earlier is None else at > earlier)
+        # Written once: the batch is read again below.
+        open_rows = pinned(before("waiting", batch.schema).unionByName(in_time))
+        latest = open_rows.agg(F.max(at)).first()[0]
+        limit = earlier if latest is None else latest - micros(lateness)
+        if earlier is not None:
+            limit = max(limit, earlier)
+        due = open_rows.where(F.lit(False) if limit is None else at <= limit)
+        carried = before("carried", carried_schema)
+        same = same_key([due[k] for k in keys], [carried[k] for k in keys])
+        known = due.join(carried, same, "left").select(due["*"], carried[_CARRIED])
         result = rule(known)
+        here = f"{folder}/rows/{number}"
         result.write.mode("overwrite").parquet(here)
         written = spark.read.schema(result.schema).parquet(here)
-        (
-            carried.unionByName(carry(batch, written).select(*carried.columns))
+        carry_on(
+            "carried",
+            carried.unionByName(carry(due, written).select(*carried.columns))
             .groupBy(*keys)
-            .agg(merge(_CARRIED).alias(_CARRIED))
-            .write.mode("overwrite")
-            .parquet(f"{folder}/carried/{number % 2}")
+            .agg(merge(_CARRIED).cast(kind).alias(_CARRIED)),
         )
+        carry_on("waiting", open_rows.where(F.lit(True) if limit is None else at > limit))
+        carry_on("passed", spark.createDataFrame([(limit,)], passed_schema))
 
     return stream_writer(stream, checkpoint, **options).foreachBatch(step).start()
 
@@ -101,12 +131,13 @@ def throttle_in_batches(
     folder: str,
     checkpoint: str,
     gap: timedelta = THROTTLE_GAP,
+    lateness: timedelta = ORDER_LATENESS,
     **options,
 ) -> StreamingQuery:
     """Keep each key's first row, then every row at least ``gap`` after the last kept one.
 
-    Carried is the time of the last kept row.  Rows too close behind it, or
-    before it, go first; then the first row of a key is kept again.
+    Carried is the time of the last kept row.  Rows too close behind it go first;
+    then the first row of a key is kept again.
     """
 
     def rule(known: DataFrame) -> DataFrame:
@@ -118,7 +149,9 @@ def throttle_in_batches(
         return kept.groupBy(*keys).agg(F.max(time).alias(_CARRIED))
 
     kind = stream.schema[time].dataType
-    return _in_batches(stream, keys, kind, rule, carry, F.max, folder, checkpoint, **options)
+    return _in_batches(
+        stream, keys, time, kind, rule, carry, F.max, folder, checkpoint, lateness, **options
+    )
 
 
 def gap_in_batches(
@@ -130,6 +163,7 @@ def gap_in_batches(
     checkpoint: str,
     gap: timedelta = LAG_GAP,
     out: str = "last_recorded_timestamp",
+    lateness: timedelta = ORDER_LATENESS,
     **options,
 ) -> StreamingQuery:
     """Keep rows at least ``gap`` after the key's row before, with its time as ``out``.
@@ -138,8 +172,7 @@ def gap_in_batches(
     """
 
     def rule(known: DataFrame) -> DataFrame:
-        timed = known.where(F.col(time).isNotNull())
-        lagged = with_previous(timed, keys, [time, *tie], time, out)
+        lagged = with_previous(known, keys, [time, *tie], time, out)
         lagged = lagged.withColumn(out, F.coalesce(out, _CARRIED)).drop(_CARRIED)
         return lagged.where(epoch_micros(time) - epoch_micros(out) >= micros(gap))
 
@@ -147,32 +180,41 @@ def gap_in_batches(
         return batch.groupBy(*keys).agg(F.max(time).alias(_CARRIED))
 
     kind = stream.schema[time].dataType
-    return _in_batches(stream, keys, kind, rule, carry, F.max, folder, checkpoint, **options)
+    return _in_batches(
+        stream, keys, time, kind, rule, carry, F.max, folder, checkpoint, lateness, **options
+    )
 
 
 def running_sum_in_batches(
     stream: DataFrame,
     keys: Sequence[str],
-    order: Sequence[str],
+    time: str,
+    tie: Sequence[str],
     value: str,
     out: str,
     folder: str,
     checkpoint: str,
+    lateness: timedelta = ORDER_LATENESS,
     **options,
 ) -> StreamingQuery:
-    """Every row with its key's total so far; carried is the key's total."""
+    """Every row with its key's total so far, of the type that SUM has.
+
+    Carried is the key's total.
+    """
+    kind = sum_type(stream.schema[value].dataType)
+    nothing = F.lit(0).cast(kind)
 
     def rule(known: DataFrame) -> DataFrame:
-        summed = running_sum(known, keys, order, value, "_sum")
+        summed = running_sum(known, keys, [time, *tie], value, "_sum")
         before = F.col(_CARRIED)
         total = F.when(before.isNull(), F.col("_sum")).otherwise(
-            before + F.coalesce(F.col("_sum").cast("double"), F.lit(0.0))
+            before + F.coalesce(F.col("_sum").cast(kind), nothing)
         )
-        return summed.withColumn(out, total.cast("double")).drop("_sum", _CARRIED)
+        return summed.withColumn(out, total.cast(kind)).drop("_sum", _CARRIED)
 
-    def carry(batch: DataFrame, summed: DataFrame) -> DataFrame:
-        return batch.groupBy(*keys).agg(F.sum(value).cast("double").alias(_CARRIED))
+    def carry(rows: DataFrame, summed: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.sum(value).cast(kind).alias(_CARRIED))
 
     return _in_batches(
-        stream, keys, T.DoubleType(), rule, carry, F.sum, folder, checkpoint, **options
+        stream, keys, time, kind, rule, carry, F.sum, folder, checkpoint, lateness, **options
     )

@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
-from tidegauge.functions.expressions import epoch_micros, interval_text, micros
+from tidegauge.functions.expressions import epoch_micros, interval_text, micros, sum_type
 from tidegauge.operators.gaps import DEFAULT_GAP as LAG_GAP
 from tidegauge.operators.throttle import DEFAULT_GAP as THROTTLE_GAP
 from tidegauge.operators.windows import REPORT_WINDOW, tumbling_count, tumbling_report
 from tidegauge.streaming.processors import (
     AT_MICROS,
+    PARSERS,
+    IdleSum,
     KeepAndWait,
+    Parse,
     PreviousTime,
     RunningSum,
     TimedSum,
@@ -33,6 +36,8 @@ REPORT_DELAY = timedelta(seconds=30)
 TIMER_DELAY = timedelta(milliseconds=2000)
 TIMER_LATENESS = timedelta(seconds=2)
 TOTAL_TTL = timedelta(seconds=1)
+# How late a row may come for rules that follow rows in time: as for reports.
+ORDER_LATENESS = REPORT_DELAY
 
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -85,52 +90,72 @@ def totals_stream(stream: DataFrame, key: str, value: str, out: str) -> DataFram
     return stream.groupBy(key).agg(F.sum(value).alias(out))
 
 
-# Types that would lose exactness or zone on the way through pandas go as text.
-_AS_TEXT = (
-    T.IntegralType,
-    T.DecimalType,
-    T.DateType,
-    T.TimestampType,
-    T.TimestampNTZType,
-)
+def _parser(kind: T.DataType) -> Parse:
+    if isinstance(kind, (T.IntegralType, T.TimestampType)):
+        return PARSERS["whole"]
+    if isinstance(kind, T.DecimalType):
+        return PARSERS["decimal"]
+    return PARSERS["float" if isinstance(kind, T.FractionalType) else "text"]
+
+
+_NESTED = (T.ArrayType, T.MapType, T.StructType)
+
+
+def _text(column: Column, kind: T.DataType) -> Column:
+    """A value as text that gives the same value back (nested ones as far as JSON does)."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(column)
+    return F.to_json(column) if isinstance(kind, _NESTED) else column.cast("string")
+
+
+def _value(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.TimestampType):
+        return F.timestamp_micros(text.cast("bigint"))
+    if isinstance(kind, T.BinaryType):
+        return F.unhex(text)
+    return F.from_json(text, kind) if isinstance(kind, _NESTED) else text.cast(kind)
 
 
 def _in_state(
     stream: DataFrame,
     keys: Sequence[str],
     time: str,
-    numeric: Sequence[str],
-    make_processor: Callable[[dict[str, str]], StatefulProcessor],
-    added: Sequence[T.StructField] = (),
-    time_mode: str = "None",
+    tie: Sequence[str],
+    make_processor: Callable[..., StatefulProcessor],
+    lateness: timedelta | None,
+    added: Sequence[str] = (),
 ) -> DataFrame:
-    """Run a row-preserving processor per key, with the rows' columns unchanged.
+    """Run a processor over the rows of each key, with the rows' columns unchanged.
 
-    Rows travel under plain names (c0, c1, ...), since Spark drops names on the
-    way to a processor that are no Python identifiers; ``make_processor`` gets
-    the mapping.  ``numeric`` columns reach the processor as numbers.
+    Columns travel as texts under plain names (c0, c1, ...), since Spark drops
+    names on the way to a processor that are no Python identifiers.  Rows
+    without a time are left out.  Rows later than ``lateness`` are dropped and
+    counted in the query's progress (numRowsDroppedByWatermark); so are rows up
+    to 1970-01-01 00:00, where a watermark starts.  Without ``lateness`` there is no watermark, and the processor takes rows as they come.
     """
-    plain = {name: f"c{i}" for i, name in enumerate(stream.columns)}
-    kinds = {f.name: f.dataType for f in stream.schema.fields}
-
-    def carried(name: str) -> Column:
-        as_text = isinstance(kinds[name], _AS_TEXT) and name not in (*numeric, *keys)
-        column = F.col(f"`{name}`")
-        return (column.cast("string") if as_text else column).alias(plain[name])
-
-    timed = stream.where(F.col(time).isNotNull())
-    passed = timed.select(
-        *[carried(c) for c in stream.columns], epoch_micros(time).alias(AT_MICROS)
+    names, kinds = stream.columns, [f.dataType for f in stream.schema.fields]
+    plain = [f"c{i}" for i in range(len(names))]
+    passed = stream.where(F.col(time).isNotNull()).select(
+        *[F.col(f"`{k}`").alias(f"key{i}") for i, k in enumerate(keys)],
+        *[_text(F.col(f"`{n}`"), k).alias(p) for n, k, p in zip(names, kinds, plain, strict=True)],
+        epoch_micros(time).alias(AT_MICROS),
+        F.col(time).cast("timestamp").alias("event_at"),
     )
-    processed = passed.groupBy(*[plain[k] for k in keys]).transformWithStateInPandas(
-        statefulProcessor=make_processor(plain),
-        outputStructType=T.StructType([*passed.schema.fields, *added]),
+    if lateness is not None:
+        passed = passed.withWatermark("event_at", interval_text(lateness))
+    ties = [(names.index(t), _parser(kinds[names.index(t)])) for t in tie]
+    text = [T.StructField(c, T.StringType()) for c in (*plain, *added)]
+    processed = passed.groupBy(*[f"key{i}" for i in range(len(keys))]).transformWithStateInPandas(
+        statefulProcessor=make_processor(plain, ties),
+        outputStructType=T.StructType([T.StructField(AT_MICROS, T.LongType()), *text]),
         outputMode="Append",
-        timeMode=time_mode,
+        timeMode="ProcessingTime" if lateness is None else "EventTime",
     )
     return processed.select(
-        *[F.col(plain[c]).cast(kinds[c]).alias(c) for c in stream.columns],
-        *[f.name for f in added],
+        *[_value(F.col(p), k).alias(n) for n, k, p in zip(names, kinds, plain, strict=True)],
+        *added,
     )
 
 
@@ -140,14 +165,14 @@ def throttle_stream(
     time: str,
     tie: Sequence[str] = (),
     gap: timedelta = THROTTLE_GAP,
+    lateness: timedelta = ORDER_LATENESS,
 ) -> DataFrame:
-    """Keep each key's first row, then every row at least ``gap`` after the last kept one."""
+    """Keep each key's first row, then every row at least ``gap`` after the last kept one.
+
+    A row is decided on when the watermark has passed it, in event-time order.
+    """
     return _in_state(
-        stream,
-        keys,
-        time,
-        tie,
-        lambda names: KeepAndWait([AT_MICROS, *[names[t] for t in tie]], micros(gap)),
+        stream, keys, time, tie, lambda *rows: KeepAndWait(*rows, micros(gap)), lateness
     )
 
 
@@ -158,18 +183,16 @@ def gap_stream(
     tie: Sequence[str] = (),
     gap: timedelta = LAG_GAP,
     out: str = "last_recorded_timestamp",
+    lateness: timedelta = ORDER_LATENESS,
 ) -> DataFrame:
-    """Keep rows at least ``gap`` after the key's row before, with its time as ``out``."""
-    lagged = _in_state(
-        stream,
-        keys,
-        time,
-        tie,
-        lambda names: PreviousTime([AT_MICROS, *[names[t] for t in tie]], "previous_us"),
-        [T.StructField("previous_us", T.LongType())],
-    )
-    far = lagged.where(epoch_micros(time) - lagged["previous_us"] >= micros(gap))
-    before = F.timestamp_micros(lagged["previous_us"]).cast(stream.schema[time].dataType)
+    """Keep rows at least ``gap`` after the key's row before, with its time as ``out``.
+
+    A row is decided on when the watermark has passed it, in event-time order.
+    """
+    lagged = _in_state(stream, keys, time, tie, PreviousTime, lateness, PreviousTime.added)
+    previous = lagged["previous_us"].cast("bigint")
+    far = lagged.where(epoch_micros(time) - previous >= micros(gap))
+    before = F.timestamp_micros(previous).cast(stream.schema[time].dataType)
     return far.select(*[far[c] for c in stream.columns], before.alias(out))
 
 
@@ -181,23 +204,28 @@ def running_sum_stream(
     value: str,
     out: str,
     ttl: timedelta | None = None,
+    lateness: timedelta = ORDER_LATENESS,
 ) -> DataFrame:
-    """Every row with its key's total so far.
+    """Every row with its key's total so far, of the type that SUM has.
 
-    With ``ttl`` an idle total is forgotten after that much wall-clock time.
+    A row is summed when the watermark has passed it, in event-time order.  With
+    ``ttl`` an idle total is forgotten after that much wall-clock time; rows are
+    then summed as they come, as Spark has no such lifetime beside a watermark.
     Such a query must be given a time to run ``every``: the clock always leaves
     it something to do, so "what is there now" never ends.
     """
-    ttl_ms = None if ttl is None else micros(ttl) // 1000
-
-    def processor(names: dict[str, str]) -> RunningSum:
-        order = [AT_MICROS, *[names[t] for t in tie]]
-        return RunningSum(order, names[value], "total_so_far", ttl_ms)
-
-    added = [T.StructField("total_so_far", T.DoubleType())]
-    mode = "None" if ttl is None else "ProcessingTime"
-    summed = _in_state(stream, keys, time, [*tie, value], processor, added, mode)
-    return summed.select(*stream.columns, summed["total_so_far"].alias(out))
+    kind = stream.schema[value].dataType
+    summand = (stream.columns.index(value), _parser(kind))
+
+    def processor(columns: list[str], ties: list) -> StatefulProcessor:
+        if ttl is None:
+            return RunningSum(columns, ties, summand)
+        return IdleSum(columns, ties, summand, micros(ttl) // 1000)
+
+    held = None if ttl is not None else lateness
+    summed = _in_state(stream, keys, time, tie, processor, held, RunningSum.added)
+    total = summed["total_so_far"].cast(sum_type(kind))
+    return summed.select(*stream.columns, total.alias(out))
 
 
 def timed_sum_stream(
