@@ -281,3 +281,11 @@ def test_times_beyond_a_timestamp_are_null(spark):
     frame = spark.createDataFrame([(2**63 - 1,), (-(2**63),), (60_000,)], "ms long")
     rows = frame.select(instant("ms").isNull(), epoch_micros("ms")).collect()
     assert [tuple(r) for r in rows] == [(True, None), (True, None), (False, 60_000_000)]
+
+
+def test_word_counts_of_repeated_rows_nulls_and_no_rows(spark):
+    frame = spark.createDataFrame([("a b a",), ("a b a",), (None,), ("",)], "t string")
+    counted = transforms.word_counts(frame, "t", "word", "n", "documents")
+    found = sorted(tuple(r) for r in counted.collect())
+    assert found == [("", 1, 1), ("a", 4, 2), ("b", 2, 2)]
+    assert transforms.word_counts(frame.where("false"), "t", "w", "n", "d").count() == 0

@@ -355,13 +355,8 @@ def split_map(spark, folder):
 )
 def split_flat_map(spark, folder):
     """Words of all documents, summed up so that the result can be compared."""
-    documents = table(spark, folder, "documents").select("doc_id", "text")
-    words = transforms.exploded_words(documents, "text", "word")
-    # Counting per (word, document) first spreads a frequent word over many tasks.
-    per_document = words.groupBy("word", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_document.groupBy("word").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("documents")
-    )
+    documents = table(spark, folder, "documents").select("text")
+    return transforms.word_counts(documents, "text", "word", "n", "documents")
 
 
 _PROPS = T.StructType([T.StructField("k", T.IntegerType())])

@@ -33,6 +33,26 @@ def exploded_words(frame: DataFrame, column: str, out: str) -> DataFrame:
     return frame.withColumn(out, F.explode(F.split(column, " ")))
 
 
+def word_counts(frame: DataFrame, column: str, word: str, count: str, rows: str) -> DataFrame:
+    """How often every word occurs, and in how many rows.
+
+    A row is one document: rows that repeat a document count once each.  What a
+    row adds is known within the row, so only vocabularies are shuffled.
+    """
+    words = F.split(column, " ")
+    every = F.transform(
+        words, lambda w: F.struct(w.alias("w"), F.lit(1).alias("n"), F.lit(0).alias("first"))
+    )
+    distinct = F.transform(
+        F.array_distinct(words),
+        lambda w: F.struct(w.alias("w"), F.lit(0).alias("n"), F.lit(1).alias("first")),
+    )
+    found = frame.select(F.explode(F.concat(every, distinct)).alias("found"))
+    return found.groupBy(F.col("found.w").alias(word)).agg(
+        F.sum("found.n").alias(count), F.sum("found.first").alias(rows)
+    )
+
+
 def json_incremented(
     frame: DataFrame, column: str, field: str = "tel", schema: T.StructType = CONTACT_JSON
 ) -> DataFrame:
