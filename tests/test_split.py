@@ -158,3 +158,47 @@ def test_results_do_not_depend_on_row_order(events):
     shuffled = events.orderBy(F.rand(3))
     for name in ("running_sum", "throttle_rare", "readings"):
         assert rows(OPERATORS[name](shuffled)) == rows(OPERATORS[name](events))
+
+
+ODD_VALUES = {
+    "double": ["1", "1", "NaN", "1", None, "1", "1", "1"],
+    "decimal(10,2)": ["0.10", "0.20", None, "0.30", "0.10", "0.20", "0.30", "0.10"],
+    "bigint": [str(5 * 10**18 * (-1) ** i) for i in range(8)],
+}
+
+
+@pytest.mark.parametrize("kind", ODD_VALUES)
+@pytest.mark.parametrize("rule", ["running", "idle"])
+def test_split_sums_of_odd_values_equal_whole_ones(spark, rows_per_task, rule, kind):
+    frame = spark.createDataFrame(
+        [("a", i, None if i == 0 else i * 10 + 100 * (i > 5), v) for i, v in enumerate(ODD_VALUES[kind])],
+        "k string, id int, s long, v string",
+    )
+    # Names that the split plan uses itself, and a missing time.
+    frame = frame.select(
+        "k", "id", instant(F.col("s") * 1000).alias("_at"), F.col("v").cast(kind).alias("_value"),
+        F.lit(1).alias("_run"), F.lit("x").alias("_sum"),
+    )
+
+    def found():
+        if rule == "running":
+            return running_sum(frame, ["k"], ["_at", "id"], "_value", "out")
+        return idle_reset_sum(
+            frame.withColumnRenamed("_at", "at"), ["k"], "at", ["id"], "_value", "out",
+            timedelta(seconds=50),
+        )
+
+    whole = found()
+    expected = rows(whole)
+    for limit in (1, 2, 3):
+        rows_per_task(limit)
+        split = found()
+        assert split.schema["out"].dataType == whole.schema["out"].dataType
+        assert str(rows(split)) == str(expected)
+
+
+def test_split_sum_beyond_64_bits_is_an_error(spark, rows_per_task):
+    frame = spark.range(4).select(F.lit(1).alias("k"), "id", F.lit(5 * 10**18).alias("v"))
+    rows_per_task(3)
+    with pytest.raises(Exception, match="64 bits|overflow"):
+        running_sum(frame, ["k"], ["id"], "v", "out").collect()

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegauge.functions.expressions import same_key
+from tidegauge.functions.expressions import same_key, sum_type
 from tidegauge.plans import scans
 from tidegauge.plans.shared import stored
 from tidegauge.plans.skew import rows_per_task
@@ -64,10 +64,9 @@ def _edges(scanned: DataFrame, first: Sequence[str], last: Sequence[str]) -> Dat
     )
 
 
-def previous_value(
+def _previous_value(
     frame: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, out: str, total: int
 ) -> DataFrame:
-    """lag(column) per key over split runs; with no keys, over the whole table."""
     runs = sorted_runs(frame, keys, order, total)
     schema = _extended(runs.schema, [(out, runs.schema[column].dataType), *_EDGE_FIELDS])
     scanned = stored(runs.mapInArrow(scans.previous_value_scan(keys, column, out), schema))
@@ -91,7 +90,7 @@ def previous_value(
     )
 
 
-def running_sum(
+def _running_sum(
     frame: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
@@ -101,13 +100,8 @@ def running_sum(
     time: str | None = None,
     idle: int | None = None,
 ) -> DataFrame:
-    """Running sum per key over split runs, NULL until the first non-NULL value.
-
-    With ``idle`` the sum restarts where ``time`` is more than ``idle`` after
-    the row before.
-    """
     kind = frame.schema[value].dataType
-    wide = T.LongType() if isinstance(kind, T.IntegralType) else T.DoubleType()
+    wide = sum_type(kind)
     present = F.col(value).isNotNull()
     summed = frame.withColumn("_value", F.coalesce(F.col(value).cast(wide), F.lit(0).cast(wide)))
     summed = summed.withColumn("_present", present.cast("bigint"))
@@ -135,7 +129,8 @@ def running_sum(
     before, first = F.col("before"), F.col("first")
     goes_on = before.isNotNull() & same_key([before[k] for k in keys], [first[k] for k in keys])
     if idle is not None:
-        goes_on = goes_on & (first["_at"] - before["_at"] <= idle)
+        # As in the window form, a missing time is no pause.
+        goes_on = goes_on & F.coalesce(first["_at"] - before["_at"] <= idle, F.lit(True))
     # A run that is one single segment hands on what it received and its own
     # sum; any other hands on the sum of its last segment alone.
     chained = F.when(F.col("goes_on") & (before[scans.SEGMENT] == 0), 0).otherwise(1)
@@ -151,6 +146,52 @@ def running_sum(
     full = {c: F.col(c) + F.when(opening, F.col(f"{c}_in")).otherwise(F.lit(0)) for c in sums}
     return (
         scanned.join(F.broadcast(carries), RUN)
-        .withColumn(out, F.when(full["_count"] > 0, full["_sum"]))
+        .withColumn(out, F.when(full["_count"] > 0, full["_sum"]).cast(wide))
         .select(*frame.columns, out)
     )
+
+
+def _plain(frame: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``frame`` under names that no helper column has, and where each name went."""
+    plain = {name: f"c{i}" for i, name in enumerate(frame.columns)}
+    return frame.toDF(*plain.values()), plain
+
+
+def previous_value(
+    frame: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, out: str, total: int
+) -> DataFrame:
+    """lag(column) per key over split runs; with no keys, over the whole table."""
+    own, plain = _plain(frame)
+    found = _previous_value(
+        own, [plain[k] for k in keys], [plain[o] for o in order], plain[column], "out", total
+    )
+    return found.toDF(*frame.columns, out)
+
+
+def running_sum(
+    frame: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    out: str,
+    total: int,
+    time: str | None = None,
+    idle: int | None = None,
+) -> DataFrame:
+    """Running sum per key over split runs, NULL until the first non-NULL value.
+
+    With ``idle`` the sum restarts where ``time`` is more than ``idle`` after
+    the row before.  The type is that of SUM.
+    """
+    own, plain = _plain(frame)
+    summed = _running_sum(
+        own,
+        [plain[k] for k in keys],
+        [plain[o] for o in order],
+        plain[value],
+        "out",
+        total,
+        plain[time] if time else None,
+        idle,
+    )
+    return summed.toDF(*frame.columns, out)

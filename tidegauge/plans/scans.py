@@ -7,6 +7,7 @@ not depend on how many rows a key has.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -88,6 +89,33 @@ def previous_value_scan(keys: Sequence[str], column: str, out: str) -> Callable[
     return scan
 
 
+def _running(
+    values: pa.Array, segments: np.ndarray, continued: np.ndarray, before: Any
+) -> pa.Array:
+    """Running sums within segments; those ``continued`` start from ``before``.
+
+    NaN stays in the sum, as in Spark; decimals are exact; whole numbers beyond
+    64 bits are an error.
+    """
+    if pa.types.is_decimal(values.type):
+        sums, total, own = [], before, None
+        for value, part, goes_on in zip(values.to_pylist(), segments, continued, strict=True):
+            total = value + (total if goes_on or part == own else 0)
+            own = part
+            sums.append(total)
+        return pa.array(sums, values.type)
+    numbers = values.to_numpy(zero_copy_only=False)
+    running = pd.Series(numbers).groupby(segments, sort=False).cumsum(skipna=False).to_numpy()
+    running = np.where(continued, running + running.dtype.type(before), running)
+    if numbers.dtype.kind == "i":
+        # Sums wrap around; where that shows in the end, floats are far off.
+        rough = pd.Series(numbers.astype("float64")).groupby(segments, sort=False).cumsum()
+        rough = np.where(continued, rough + float(before), rough)
+        if np.any(np.abs(running.astype("float64") - rough) > 2.0**62):
+            raise OverflowError("a running sum exceeds 64 bits")
+    return pa.array(running)
+
+
 def running_sum_scan(
     keys: Sequence[str],
     sums: dict[str, str],
@@ -110,20 +138,15 @@ def running_sum_scan(
             if idle is not None:
                 at = batch.column(time).to_numpy(zero_copy_only=False)
                 last_at = at[0] if before is None else before.column(time)[0].as_py()
+                # A missing time is NaN: no pause before or behind it.
+                last_at = np.nan if last_at is None else last_at
                 breaks |= np.diff(at, prepend=last_at) > idle
             segments = segment + np.cumsum(breaks)
             added = {}
             for out, source in sums.items():
-                values = batch.column(source).to_numpy(zero_copy_only=False)
-                running = pd.Series(values).groupby(segments, sort=False).cumsum().to_numpy()
-                continued = segments == segment
-                if values.dtype.kind == "i":
-                    reach = abs(int(totals[out])) + float(np.abs(values.astype("float64")).sum())
-                    if reach >= 2**63:
-                        raise OverflowError(f"running sum of {source} exceeds 64 bits")
-                running = np.where(continued, running + totals[out], running)
-                totals[out] = running[-1]
-                added[out] = pa.array(running)
+                values = batch.column(source)
+                added[out] = _running(values, segments, segments == segment, totals[out])
+                totals[out] = added[out][-1].as_py()
             added[SEGMENT] = pa.array(segments.astype("int64"))
             added.update(edge_marks(rows, before is None, closes))
             yield with_columns(batch, added)
