@@ -215,6 +215,7 @@ def test_udf_keeps_null(spark):
     found = select_with(frame, "my_table", "SELECT my_udf(column_name) AS y FROM my_table")
     assert [r.y for r in found.collect()] == [2, 4, None]
     assert found.schema["y"].dataType.simpleString() == "int"
+    assert not spark.catalog.tableExists("my_table")
 
 
 def test_report_columns_and_single_reading(spark, both_plans):

@@ -202,3 +202,52 @@ def test_split_sum_beyond_64_bits_is_an_error(spark, rows_per_task):
     rows_per_task(3)
     with pytest.raises(Exception, match="64 bits|overflow"):
         running_sum(frame, ["k"], ["id"], "v", "out").collect()
+
+
+MIXED = {
+    "running": lambda f: running_sum(f, ["k"], ["at", "id"], "v", "v"),
+    "delayed": lambda f: delayed_running_sum(f, ["k"], "at", ["id"], "v", "out", timedelta(seconds=5)),
+    "idle": lambda f: idle_reset_sum(f, ["k"], "at", ["id"], "v", "out", timedelta(seconds=2)),
+    "gaps": lambda f: gap_filter(f, ["k"], "at", ["id"], timedelta(seconds=2)),
+    "throttle": lambda f: throttle(f, ["k"], "at", ["id"], timedelta(seconds=9)),
+}
+
+
+@pytest.fixture
+def mixed(spark):
+    """Two channels with most rows and many small ones, NaN and NULL among either."""
+    channel = "IF(id < 200, double('NaN'), IF(id < 400, 1.0, IF(id < 430, NULL, floor(id / 10))))"
+    return spark.range(600).selectExpr(
+        f"{channel} AS k", "timestamp_millis(id * 37 % 601 * 1000) AS at", "id", "id % 7 AS v"
+    )
+
+
+@pytest.mark.parametrize("name", MIXED)
+def test_only_large_keys_are_split(mixed, rows_per_task, name):
+    whole = MIXED[name](mixed)
+    expected = rows(whole)
+    rows_per_task(60)
+    found = MIXED[name](mixed)
+    assert found.schema.fieldNames() == whole.schema.fieldNames()
+    assert str(rows(found)) == str(expected)  # NaN among them
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan  # the small ones take the ordinary plan
+
+
+def test_nan_is_one_channel_to_the_throttle(spark, rows_per_task):
+    frame = spark.range(4).selectExpr("double('NaN') AS k", "timestamp_seconds(id) AS at", "id")
+    for limit in (100, 2):
+        rows_per_task(limit)
+        kept_ids = [r.id for r in throttle(frame, ["k"], "at", ["id"], timedelta(hours=1)).collect()]
+        assert kept_ids == [0]
+
+
+def test_equal_ties_are_listed_alike(spark, rows_per_task):
+    frame = spark.createDataFrame(
+        [("a", 1, v) for v in (9.0, 3.0, 7.0, 1.0, 5.0, 2.0)], "k string, tie int, v double"
+    ).withColumn("at", F.timestamp_seconds(F.lit(60)))
+    lists = []
+    for limit in (1000, 8):
+        rows_per_task(limit)
+        lists.append(rows(readings_list(frame, "k", "at", "v", "tie", timedelta(minutes=1))))
+    assert lists[0] == lists[1]

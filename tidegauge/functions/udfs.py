@@ -27,6 +27,13 @@ def register_doubling(spark: SparkSession, name: str = "my_udf") -> None:
 
 
 def select_with(frame: DataFrame, view: str, query: str) -> DataFrame:
-    """Run SQL text over ``frame``, visible to the text as ``view``."""
-    frame.createOrReplaceTempView(view)
-    return frame.sparkSession.sql(query)
+    """Run SQL text over ``frame``, visible to this text alone as ``view``.
+
+    A temporary view of that name that is there already is an error.
+    """
+    spark = frame.sparkSession
+    frame.createTempView(view)
+    try:
+        return spark.sql(query)
+    finally:
+        spark.catalog.dropTempView(view)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.expressions import epoch_micros, micros
 from tidegauge.plans import runs
-from tidegauge.plans.skew import group_sizes, rows_per_task
+from tidegauge.plans.skew import by_weight, columns_with, group_sizes
 
 # Fixed value: the least distance between two rows.
 DEFAULT_GAP = timedelta(milliseconds=60_000)
@@ -24,10 +24,17 @@ def with_previous(
     The whole-table form never uses one unpartitioned window: it always works
     on split runs.
     """
-    sizes = group_sizes(frame, keys)
-    if not keys or sizes.largest > rows_per_task(frame.sparkSession):
-        return runs.previous_value(frame, keys, order, column, out, sizes.total)
-    return frame.withColumn(out, F.lag(column).over(Window.partitionBy(*keys).orderBy(*order)))
+
+    def whole(rows: DataFrame) -> DataFrame:
+        along = Window.partitionBy(*keys).orderBy(*order)
+        return rows.withColumn(out, F.lag(column).over(along)).select(columns_with(rows, out))
+
+    def split(rows: DataFrame, total: int) -> DataFrame:
+        return runs.previous_value(rows, keys, order, column, out, total)
+
+    if not keys:
+        return split(frame, group_sizes(frame, keys).total)
+    return by_weight(frame, keys, whole, split)
 
 
 def gap_filter(

@@ -27,7 +27,7 @@ SEPARATOR = ","
 def ordered_list(time: str, tie: str | None, value: str) -> Column:
     """Aggregate: non-NULL readings as text, by time and tie; NULL if there are none.
 
-    Without a tie-break the value itself decides between equal times.
+    The value itself decides between equal times and ties.
     """
     order = [F.col(time).alias("t"), F.col(tie or value).alias("o"), F.col(value).alias("v")]
     gathered = F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), F.struct(*order))))
@@ -54,6 +54,7 @@ def readings_parts(
         F.window(time, interval_text(size)).alias("window"),
         F.col(time).alias("_time"),
         F.col(tie or value).alias("_tie"),
+        F.col(value).alias("_value"),
         F.col(value).cast("string").alias("_text"),
     )
     rows = rows.select(
@@ -62,10 +63,11 @@ def readings_parts(
         F.col("window.end").alias("window_end"),
         "_time",
         "_tie",
+        "_value",
         "_text",
     )
     keys = ["channel_id", "window_start"]
-    runs = sorted_runs(rows, keys, ["_time", "_tie"], total)
+    runs = sorted_runs(rows, keys, ["_time", "_tie", "_value"], total)
     group = ["channel_id", "window_start", "window_end", RUN]
     schema = T.StructType(
         [

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidegauge.functions.expressions import epoch_micros, micros
 from tidegauge.plans import chains
 from tidegauge.plans.scans import Batches
-from tidegauge.plans.skew import group_sizes, rows_per_task
+from tidegauge.plans.skew import by_weight
 
 # Fixed value: the least distance between two kept rows of a channel.
 DEFAULT_GAP = timedelta(seconds=240)
@@ -33,16 +33,13 @@ def throttle(
 
     The rule is sequential within a key, so no window function expresses it.
     A key that fits one task is followed there in sorted order, with one row of
-    memory; if the largest key does not fit, see ``plans.chains``.
+    memory; for keys that do not fit, see ``plans.chains``.
     """
     distance = micros(gap)
     if distance <= 0:
         raise ValueError("gap must be positive")
     timed = frame.where(F.col(time).isNotNull()).withColumn(chains.AT, epoch_micros(time))
     order = [chains.AT, *tie]
-    sizes = group_sizes(timed, keys)
-    if sizes.largest > rows_per_task(frame.sparkSession):
-        return chains.throttled(timed, keys, order, distance, sizes.total).select(*frame.columns)
 
     def keep(batches: Batches) -> Batches:
         follower = chains.Follower(keys, distance)
@@ -50,9 +47,11 @@ def throttle(
             if batch.num_rows:
                 yield batch.filter(pa.array(follower.keep(batch)))
 
-    return (
-        timed.repartition(*keys)
-        .sortWithinPartitions(*keys, *order)
-        .mapInArrow(keep, timed.schema)
-        .select(*frame.columns)
-    )
+    def whole(rows: DataFrame) -> DataFrame:
+        in_order = rows.repartition(*keys).sortWithinPartitions(*keys, *order)
+        return in_order.mapInArrow(keep, timed.schema)
+
+    def split(rows: DataFrame, total: int) -> DataFrame:
+        return chains.throttled(rows, keys, order, distance, total)
+
+    return by_weight(timed, keys, whole, split).select(*frame.columns)

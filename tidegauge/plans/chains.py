@@ -42,19 +42,29 @@ def kept(at: np.ndarray, starts: np.ndarray, gap: int, lead: int) -> tuple[np.nd
 
     ``starts`` marks the first row of a key and ``lead`` is the distance of
     row 0 from the last kept row.  Distances are cut at ``gap``, beyond which
-    they no longer matter; so all keys lie on one line, and one walk serves all.
+    they no longer matter; so all keys lie on one line.  A row at least ``gap``
+    behind the one before is kept whatever came earlier, and so opens a stretch;
+    only stretches that are as long as ``gap`` have to be walked.
     """
     steps = np.minimum(np.diff(at, prepend=at[0]), gap)
     steps[starts] = gap
     steps[0] = lead
     place = np.cumsum(steps)
-    following = np.searchsorted(place, place + gap).tolist()
-    mask = np.zeros(len(at), dtype=bool)
-    row, last = int(np.searchsorted(place, gap)), 0
-    while row < len(at):
-        mask[row] = True
-        last = int(place[row])
-        row = following[row]
+    mask = steps >= gap
+    opens = np.flatnonzero(mask)
+    ends = np.append(opens, len(at))
+    long = place[ends[1:] - 1] - place[opens] >= gap
+    walks = list(zip(np.searchsorted(place, place[opens[long]] + gap), ends[1:][long], strict=True))
+    walks.append((np.searchsorted(place, gap), ends[0]))  # behind the last kept row so far
+    for row, end in walks:
+        if row < end:
+            stretch = place[:end]
+            following = np.searchsorted(stretch, stretch[row:] + gap).tolist()
+            first, row = row, int(row)
+            while row < end:
+                mask[row] = True
+                row = following[row - first]
+    last = int(place[np.flatnonzero(mask)[-1]]) if mask.any() else 0
     return mask, min(gap, int(place[-1]) - last)
 
 

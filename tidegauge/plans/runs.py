@@ -157,6 +157,12 @@ def _plain(frame: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return frame.toDF(*plain.values()), plain
 
 
+def _named(found: DataFrame, plain: dict[str, str], out: str) -> DataFrame:
+    """The names again; ``out`` comes last and replaces a column of its name."""
+    kept = [F.col(p).alias(name) for name, p in plain.items() if name != out]
+    return found.select(*kept, F.col("out").alias(out))
+
+
 def previous_value(
     frame: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, out: str, total: int
 ) -> DataFrame:
@@ -165,7 +171,7 @@ def previous_value(
     found = _previous_value(
         own, [plain[k] for k in keys], [plain[o] for o in order], plain[column], "out", total
     )
-    return found.toDF(*frame.columns, out)
+    return _named(found, plain, out)
 
 
 def running_sum(
@@ -194,4 +200,4 @@ def running_sum(
         plain[time] if time else None,
         idle,
     )
-    return summed.toDF(*frame.columns, out)
+    return _named(summed, plain, out)

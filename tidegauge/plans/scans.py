@@ -22,7 +22,7 @@ FIRST, LAST, SEGMENT = "_first", "_last", "_segment"
 def key_changes(
     batch: pa.RecordBatch, keys: Sequence[str], before: pa.RecordBatch | None
 ) -> np.ndarray:
-    """True where the key differs from the row before; NULL equals NULL.
+    """True where the key differs from the row before.
 
     ``before`` is the one-row batch ahead of this one.  Without it the first
     row is not marked.
@@ -31,14 +31,21 @@ def key_changes(
     for name in keys:
         column = batch.column(name)
         later, earlier = column.slice(1), column.slice(0, batch.num_rows - 1)
-        one_is_null = pc.xor(pc.is_null(later), pc.is_null(earlier))
-        differs = pc.fill_null(pc.or_kleene(one_is_null, pc.not_equal(later, earlier)), False)
-        changes[1:] |= differs.to_numpy(zero_copy_only=False)
+        changes[1:] |= _differs(later, earlier)
         if before is not None:
-            changes[0] |= column[0].as_py() != before.column(name)[0].as_py()
+            changes[:1] |= _differs(column.slice(0, 1), before.column(name))
     return changes
 
 
+def _differs(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Whether values differ; NULL equals NULL and NaN equals NaN, as in GROUP BY."""
+    one_is_null = pc.xor(pc.is_null(left), pc.is_null(right))
+    differs = pc.or_kleene(one_is_null, pc.not_equal(left, right))
+    if pa.types.is_floating(left.type):
+        differs = pc.and_not_kleene(differs, pc.and_kleene(pc.is_nan(left), pc.is_nan(right)))
+    return pc.fill_null(differs, False).to_numpy(zero_copy_only=False)
+
+
 def with_columns(batch: pa.RecordBatch, added: dict[str, pa.Array]) -> pa.RecordBatch:
     """``batch`` and further columns behind its own."""
     return pa.RecordBatch.from_arrays(
