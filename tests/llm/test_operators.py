@@ -203,6 +203,17 @@ def test_quality_odd_cases(spark, odd_documents, no_documents):
     assert {r["score"] for r in quality.scores(odd_documents, blank).collect()} == {0.5}
 
 
+def test_quality_takes_one_example_of_an_id(spark):
+    rows = [(i, f"word{i} and some more words") for i in range(30)] + [(1, f"text {i}") for i in range(500)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    # With one kind of label the score is its share; 500 copies of an id do not outweigh it.
+    ones = labels.where("doc_id IN (0, 1, 3, 4)").withColumn("quality", F.lit(1))
+    assert quality.trained_model(frame, ones).prior == 1.0
+    first, second = (quality.trained_model(f, labels) for f in (frame, frame.repartition(5)))
+    assert all(np.allclose(a, b) for a, b in zip(first.weights, second.weights, strict=True))
+
+
 # 6: mixing
 
 
@@ -256,6 +267,15 @@ def test_mixed_rows(odd_documents, no_documents):
     assert mixing.mixed(no_documents).count() == 0
 
 
+def test_mixed_rows_without_ids_agree_on_reruns(spark):
+    rows = [(None, f"text number w{i}", "ab"[i % 2]) for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    once, again = (
+        Counter(r["text"] for r in mixing.mixed(f).collect()) for f in (frame, frame.repartition(7))
+    )
+    assert once == again and max(once.values()) <= 2
+
+
 # 7: SimHash
 
 
@@ -328,6 +348,18 @@ def test_one_per_group(odd_documents):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 2, 6, 7, 8, None]
 
 
+def test_one_per_group_where_ids_are_equal_or_missing(spark):
+    a, b, c, d = (" ".join(f"{letter}{i}" for i in range(40)) for letter in "abcd")
+    rows = [(None, a), (None, a), (None, b), (4, b), (4, c), (4, c), (5, c), (None, None), (None, d)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = [tuple(r) for r in simhash.one_per_group(frame).collect()]
+    expected = [(None, a), (4, b), (4, c), (None, None), (None, d)]
+    assert sorted(kept, key=str) == sorted(expected, key=str)
+    found = {(r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(frame).collect()}
+    assert found == {(None, None), (None, 4), (4, 4), (5, 4)}
+    assert simhash.one_per_group(frame.where("false")).count() == 0
+
+
 # 8: lines
 
 
@@ -351,6 +383,14 @@ def test_line_dedup(spark):
     assert line_dedup.without_repeats(frame.where("false")).count() == 0
 
 
+def test_line_dedup_where_ids_are_equal_or_missing(spark):
+    a, b, c, d = (" ".join(f"{letter}{i}" for i in range(55)) for letter in "abcd")
+    rows = [(1, a), (1, f"{b}\n{a}"), (None, f"{a}\n{c}"), (None, f"{d}\n{c}"), (None, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = Counter(u for r in line_dedup.without_repeats(frame).collect() for u in (r["text"] or "").split("\n"))
+    assert {u: n for u, n in left.items() if u} == {a: 1, b: 1, c: 1, d: 1}
+
+
 # 9: languages
 
 
@@ -429,6 +469,15 @@ def test_licenses(request, name, spark):
     assert sorted(got, key=str) == sorted(expected, key=str)
 
 
+def test_licenses_where_ids_are_equal_or_missing(spark):
+    texts = ["released under the MIT license", "nothing", "licensed under CC BY SA 4.0", ""]
+    rows = [(key, text) for key in (None, 7) for text in texts]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["doc_id"], r["labels"]) for r in licenses.license_report(frame).collect())
+    both = {"mit": 1, "": 2, "cc-by,cc-by-sa": 1}
+    assert got == {(key, labels): n for key in (None, 7) for labels, n in both.items()}
+
+
 # The pipeline
 
 

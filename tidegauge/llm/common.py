@@ -94,6 +94,11 @@ def bucket_of(key: Column, cuts: list[int]) -> Column:
     return F.when(key.isNull(), F.lit(len(cuts) + 1)).otherwise(tree(0, len(cuts)))
 
 
+def text_mark(text: Column) -> Column:
+    """A number by which rows with an equal id, or without one, are told apart by their texts."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def learnable(key: Column) -> Column:
     """Whether a row may be learned from: crc32 of its id as text, modulo 4, is not 2."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 != 2, F.lit(False))

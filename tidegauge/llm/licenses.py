@@ -21,6 +21,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.llm.common import text_mark
+
 THRESHOLD = 0.9
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases and their labels (fixed values).
@@ -87,11 +89,16 @@ def _starts(tokens: str, phrase: str) -> Column:
 def _blocks(documents: DataFrame, vocabulary: Column) -> DataFrame:
     """Lines as sets: the words of the vocabulary that a line holds, in its order."""
     lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
-    return documents.select("doc_id", F.explode(lines).alias("line")).select(
-        "doc_id", F.array_intersect(vocabulary, words(F.col("line"))).alias("held")
+    return documents.select("doc_id", "mark", F.explode(lines).alias("line")).select(
+        "doc_id", "mark", F.array_intersect(vocabulary, words(F.col("line"))).alias("held")
     )
 
 
+def _marked(documents: DataFrame, key: str, text: str) -> DataFrame:
+    own = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    return own.withColumn("mark", text_mark(F.col("text")))
+
+
 def _literal(tokens: list[str]) -> Column:
     return F.array(*[F.lit(t) for t in tokens])
 
@@ -103,14 +110,14 @@ def template_matches(
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """``doc_id``, ``label`` and ``containment`` of every line that meets a template.
+    """``doc_id``, ``mark``, ``label`` and ``containment`` of every line that meets a template.
 
-    A line may match several templates, and equal lines give equal rows. Rows of
-    ``documents`` with an equal id are told apart by their lines only. A null or
-    empty text has no matches.
+    A line may match several templates, and equal lines give equal rows. ``mark`` is a
+    hash of the whole text, by which rows of ``documents`` with an equal id are told
+    apart. A null or empty text has no matches.
     """
     spark = documents.sparkSession
-    own = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    own = _marked(documents, key, text)
     sets = [sorted(set(t.split())) for t, _ in templates]
     vocabulary = sorted(set().union(*sets))
     seen = (
@@ -140,7 +147,7 @@ def template_matches(
         (F.size("held") >= min(needs)) & F.arrays_overlap("held", _literal(prefixes))
     )
     candidates = (
-        blocks.select("doc_id", "held", F.posexplode("held").alias("j", "token"))
+        blocks.select("doc_id", "mark", "held", F.posexplode("held").alias("j", "token"))
         .join(F.broadcast(index), "token")
         .where(
             (F.size("held") >= F.col("need"))
@@ -152,7 +159,7 @@ def template_matches(
     return (
         candidates.withColumn("common", common)
         .where((F.size("common") >= F.col("need")) & (F.get("common", F.lit(0)) == F.col("token")))
-        .select("doc_id", "label", (F.size("common") / F.col("size")).alias("containment"))
+        .select("doc_id", "mark", "label", (F.size("common") / F.col("size")).alias("containment"))
     )
 
 
@@ -169,12 +176,12 @@ def license_report(
     last_word (their smallest and largest start, in words from 0, or null),
     base_labels, labels (those and the templates'; both distinct, sorted and joined
     by commas, empty if none) and score: 1 with a phrase, else the largest share of
-    a template that a line holds, 0 without any. A null text is empty. Each row has
-    its own phrases; rows with an equal id, or with a null one, share what the
-    templates add. Empty tables give no rows; other columns are ignored.
+    a template that a line holds, 0 without any. A null text is empty. Every row
+    stands for itself, also where ids are equal or missing. Empty tables give no
+    rows; other columns are ignored.
     """
-    own = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    read = own.select("doc_id", words(F.col("text")).alias("tokens"))
+    own = _marked(documents, key, text)
+    read = own.select("doc_id", "mark", words(F.col("text")).alias("tokens"))
     for i, (phrase, _) in enumerate(PHRASES):
         read = read.withColumn(f"at{i}", _starts("tokens", phrase))
     at = [f"at{i}" for i in range(len(PHRASES))]
@@ -188,6 +195,7 @@ def license_report(
     )
     based = read.select(
         "doc_id",
+        "mark",
         F.size("tokens").cast("long").alias("n_words"),
         F.size(all_places).cast("long").alias("n_base"),
         F.array_min(all_places).cast("long").alias("first_word"),
@@ -196,11 +204,12 @@ def license_report(
     )
     found = (
         template_matches(own, templates, threshold, "doc_id", "text")
-        .groupBy(F.col("doc_id").alias("found_id"))
+        .groupBy(F.col("doc_id").alias("found_id"), F.col("mark").alias("found_mark"))
         .agg(F.collect_set("label").alias("more"), F.max("containment").alias("best"))
     )
     labels = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", none))))
-    return based.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")), "left").select(
+    same = F.col("doc_id").eqNullSafe(F.col("found_id")) & (F.col("mark") == F.col("found_mark"))
+    return based.join(found, same, "left").select(
         *["doc_id", "n_words", "n_base", "first_word", "last_word"],
         F.array_join(F.array_sort(F.array_distinct("base")), ",").alias("base_labels"),
         F.array_join(labels, ",").alias("labels"),

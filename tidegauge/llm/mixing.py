@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import shuffle_partitions
+from tidegauge.llm.common import shuffle_partitions, text_mark
 from tidegauge.plans.shared import stored
 
 #: Source weights in code point order, repeating.
@@ -180,8 +180,8 @@ def _shifts(rated: DataFrame, aims: DataFrame) -> DataFrame:
 def _decided(
     rows: DataFrame, weights: tuple[float, ...], share: float, limit: int
 ) -> DataFrame:
-    """Rows with key, source and size get source_size, target, rate and copies."""
-    salt = F.pmod(F.xxhash64("key"), F.lit(_SALTS)).cast("int")
+    """Rows with key, mark, source and size get source_size, target, rate and copies."""
+    salt = F.pmod(F.xxhash64("key", "mark"), F.lit(_SALTS)).cast("int")
     rows = rows.withColumn("salt", salt)
     cells = stored(rows.groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n")))
     counts = stored(cells.groupBy("source", "size").agg(F.sum("n").alias("n")))
@@ -225,7 +225,7 @@ def _decided(
             *["rate", "before", "source_size", "target"],
         )
     )
-    own = Window.partitionBy("source", "size", "salt").orderBy("key")
+    own = Window.partitionBy("source", "size", "salt").orderBy("key", "mark")
     start = F.col("before") + F.col("rate") * (F.row_number().over(own) - 1)
     copies = F.floor(F.col("start") + F.col("rate")) - F.floor("start")
     return (
@@ -237,7 +237,7 @@ def _decided(
         )
         .withColumn("start", start)
         .withColumn("copies", F.least(copies, F.lit(limit)).cast("int"))
-        .drop("p_source", "p_size", "p_salt", "salt", "start", "before")
+        .drop("p_source", "p_size", "p_salt", "salt", "start", "before", "mark")
     )
 
 
@@ -255,12 +255,13 @@ def mix_report(
     Returns doc_id, size, source_size, target (of the source), rate, copies and
     taken. A null text has no words; a document without words gets no copies, and
     a source without words has target 0. A null source is a source of its own,
-    last in order. Rows with equal or null ids count one by one. Empty tables give
-    no rows; other columns are ignored. Copies depend on the table's rows only, so
-    reruns agree.
+    last in order. Rows with equal or null ids count one by one, in order of a hash of
+    their texts. Empty tables give no rows; other columns are ignored. Copies depend
+    on the table's rows only, so reruns agree.
     """
     rows = documents.select(
         F.col(key).alias("key"),
+        text_mark(F.col(text)).alias("mark"),
         F.col(source).alias("source"),
         word_count(F.col(text)).alias("size"),
     )
@@ -290,6 +291,7 @@ def mixed(
     rows = inner.select(
         "*",
         F.col(place[key.lower()]).alias("key"),
+        text_mark(F.col(place[text.lower()])).alias("mark"),
         F.col(place[source.lower()]).alias("source"),
         word_count(F.col(place[text.lower()])).alias("size"),
     )

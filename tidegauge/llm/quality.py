@@ -282,8 +282,9 @@ def trained_model(
 
     Context vectors come from all of these; the network from at most ``limit``
     labelled ones, those with the smallest hash of their id. Several labels of a
-    document count with their mean. Where there are no labels or only one kind,
-    the score is the share of label 1 (0.5 without any).
+    document count with their mean; of several rows with one id, one is an example.
+    Where there are no labels or only one kind, the score is the share of label 1
+    (0.5 without any).
     """
     spark = documents.sparkSession
     own = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -316,6 +317,8 @@ def trained_model(
         own.join(F.broadcast(sample), F.col("key") == F.col("label_key"))
         .select("key", "label", "text")
         .mapInArrow(features, f"key {dict(own.dtypes)['key']}, label double, features binary")
+        .groupBy("key", "label")
+        .agg(F.min("features").alias("features"))  # one text for each id of the sample
         .collect()
     )
     y = np.array([r["label"] for r in rows])

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegauge.llm.common import shuffle_partitions, slices
+from tidegauge.llm.common import shuffle_partitions, slices, text_mark
 from tidegauge.plans.shared import stored
 
 WORDS = 3
@@ -83,18 +83,26 @@ def simhash_of(texts: list[bytes], words: int = WORDS) -> np.ndarray:
 def fingerprints(
     documents: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS
 ) -> DataFrame:
-    """``doc_id`` and ``fingerprint`` (long) of every whole text; null or no words: zero."""
+    """``doc_id``, ``mark`` (a hash of the text) and ``fingerprint`` (long) of every whole text.
+
+    A null text, or one without words, has fingerprint zero.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             prints = simhash_of(texts, words).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(prints)], names=["doc_id", "fingerprint"]
+                [batch.column("doc_id"), batch.column("mark"), pa.array(prints)],
+                names=["doc_id", "mark", "fingerprint"],
             )
 
-    chosen = documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return chosen.mapInArrow(run, "doc_id long, fingerprint long")
+    chosen = documents.select(
+        F.col(key).cast("long").alias("doc_id"),
+        text_mark(F.col(text)).alias("mark"),
+        F.col(text).alias("text"),
+    )
+    return chosen.mapInArrow(run, "doc_id long, mark long, fingerprint long")
 
 
 def _reached(prints: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -213,7 +221,8 @@ def links(prints: DataFrame, distance: int = DISTANCE, list_size: int = LIST_SIZ
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``print`` and ``root`` (its component's smallest ``label``) of nodes that have links.
 
-    ``nodes`` has ``print`` and ``label``, ``edges`` has ``a`` and ``b``. Each round
+    ``nodes`` has ``print`` and ``label`` (of any type that has an order), ``edges`` has
+    ``a`` and ``b``. Each round
     passes the smallest root along the links and then takes the root of the root,
     so chains shrink by half; every round is written to the shared folder.
     """
@@ -249,6 +258,18 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         state = state.drop("moved")
 
 
+def _rooted(prints: DataFrame, distance: int) -> DataFrame:
+    """``print`` and ``root``: id and mark of the first row of the component, by id, then mark."""
+    row = F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "mark")
+    nodes = stored(
+        prints.groupBy(F.col("fingerprint").alias("print")).agg(F.min(row).alias("label"))
+    )
+    roots = components(nodes, stored(links(nodes.select("print"), distance)))
+    return stored(
+        nodes.join(roots, "print", "left").select("print", F.coalesce("root", "label").alias("root"))
+    )
+
+
 def near_duplicates(
     documents: DataFrame,
     key: str = "doc_id",
@@ -265,19 +286,11 @@ def near_duplicates(
     tables give no rows; other columns are ignored.
     """
     prints = stored(fingerprints(documents, key, text, words))
-    nodes = stored(
-        prints.groupBy(F.col("fingerprint").alias("print")).agg(
-            F.coalesce(F.min("doc_id"), F.lit(_NO_ID)).alias("label")
-        )
-    )
-    roots = components(nodes, stored(links(nodes.select("print"), distance)))
-    named = stored(
-        nodes.join(roots, "print", "left").select(
-            "print", F.nullif(F.coalesce("root", "label"), F.lit(_NO_ID)).alias("component_id")
-        )
-    )
-    return prints.join(named, F.col("fingerprint") == F.col("print")).select(
-        "doc_id", _hex(F.col("fingerprint")).alias("fingerprint"), "component_id"
+    rooted = _rooted(prints, distance)
+    return prints.join(rooted, F.col("fingerprint") == F.col("print")).select(
+        "doc_id",
+        _hex(F.col("fingerprint")).alias("fingerprint"),
+        F.nullif(F.col("root.id"), F.lit(_NO_ID)).alias("component_id"),
     )
 
 
@@ -292,17 +305,24 @@ def one_per_group(
     words: int = WORDS,
     distance: int = DISTANCE,
 ) -> DataFrame:
-    """The documents without near-duplicates: of each group the one with the smallest id.
+    """The documents without near-duplicates: of each group the row with the smallest id.
 
-    Rows with an equal id are one document, of which one row stays. Rows without
-    an id cannot be told apart and stay as they are. All columns are kept.
+    Null ids come last; where ids are equal or missing, a hash of the text decides, and
+    of rows with equal id and text any one stays. So every group keeps exactly one
+    row. All columns are kept. Empty tables give no rows.
     """
-    found = near_duplicates(documents.select(key, text), key, text, words, distance)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    prints = stored(fingerprints(documents, key, text, words))
+    # A group's first row is named by one fingerprint of the group, so roots are few.
+    kept = _rooted(prints, distance).select("root").distinct()
     names = documents.columns
+    lower = [n.lower() for n in names]
     inner = documents.toDF(*[f"c{i}" for i in range(len(names))])
-    own = F.col(f"c{[n.lower() for n in names].index(key.lower())}")
-    staying = inner.join(kept, own == F.col("kept_id"), "left_semi").dropDuplicates(
-        [f"c{[n.lower() for n in names].index(key.lower())}"]
+    marked = inner.withColumns(
+        {
+            "own_id": F.coalesce(F.col(f"c{lower.index(key.lower())}").cast("long"), F.lit(_NO_ID)),
+            "own_mark": text_mark(F.col(f"c{lower.index(text.lower())}")),
+        }
     )
-    return staying.unionByName(inner.where(own.isNull())).toDF(*names)
+    same = (F.col("own_id") == F.col("root.id")) & (F.col("own_mark") == F.col("root.mark"))
+    staying = marked.join(kept, same, "left_semi").dropDuplicates(["own_id", "own_mark"])
+    return staying.drop("own_id", "own_mark").toDF(*names)
