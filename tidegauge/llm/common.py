@@ -37,7 +37,11 @@ def remembered(key: Hashable, make: Callable[[], Any]) -> Any:
 def slices(
     batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BATCH_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that a piece has about ``limit`` bytes of text, or one row."""
+    """Cut Arrow batches so that a piece has about ``limit`` bytes of text, or one row.
+
+    Behind the last piece, memory that Arrow holds in reserve goes back to the system:
+    Python processes outlive their tasks.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -49,6 +53,7 @@ def slices(
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:

@@ -312,8 +312,10 @@ def one_per_group(
     row. All columns are kept. Empty tables give no rows.
     """
     prints = stored(fingerprints(documents, key, text, words))
-    # A group's first row is named by one fingerprint of the group, so roots are few.
-    kept = _rooted(prints, distance).select("root").distinct()
+    kept = stored(_rooted(prints, distance).select("root.*").distinct())
+    row = [F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "mark"]
+    copies = prints.select(*row).groupBy("id", "mark").agg(F.count(F.lit(1)).alias("n"))
+    several = stored(kept.join(copies.where("n > 1"), ["id", "mark"], "left_semi"))
     names = documents.columns
     lower = [n.lower() for n in names]
     inner = documents.toDF(*[f"c{i}" for i in range(len(names))])
@@ -323,6 +325,15 @@ def one_per_group(
             "own_mark": text_mark(F.col(f"c{lower.index(text.lower())}")),
         }
     )
-    same = (F.col("own_id") == F.col("root.id")) & (F.col("own_mark") == F.col("root.mark"))
-    staying = marked.join(kept, same, "left_semi").dropDuplicates(["own_id", "own_mark"])
-    return staying.drop("own_id", "own_mark").toDF(*names)
+    own = ["own_id", "own_mark"]
+
+    def rows_of(chosen: DataFrame) -> DataFrame:
+        return marked.join(chosen.toDF(*own), own, "left_semi").select(*marked.columns)
+
+    # Whole texts need not meet, but for rows with equal id and text.
+    if several.isEmpty():
+        staying = rows_of(kept)
+    else:
+        once = rows_of(kept.join(several, ["id", "mark"], "left_anti"))
+        staying = once.unionByName(rows_of(several).dropDuplicates(own))
+    return staying.drop(*own).toDF(*names)
