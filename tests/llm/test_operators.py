@@ -143,6 +143,23 @@ def test_joins_of_any_texts(ranks, monkeypatch):
     assert [bytes(b).decode() for b in codec.decode(ids, lengths)] == texts
 
 
+def test_runs_of_one_character(ranks):
+    encoder = bpe.Codec(open(queries.RANKS, "rb").read()).encoder
+    for character in "=-._*#/0":
+        for n in range(2, 401):
+            run = character * n
+            assert list(encoder.piece(run.encode())) == ranks.encode_ordinary(run), (character, n)
+
+
+def test_merges_with_a_heap(ranks):
+    encoder = bpe.Codec(open(queries.RANKS, "rb").read()).encoder
+    rng = random.Random(6)
+    for letters in ("=-", "aeint", "._", "=", "ab cé日"):
+        for _ in range(300):
+            data = "".join(rng.choices(letters, k=rng.randrange(1, 90))).encode()
+            assert encoder.merged_by_heap(data) == encoder.merged(data)
+
+
 def test_decoding_columns(documents):
     back = bpe.decoded(bpe.encoded(documents, queries.RANKS), queries.RANKS)
     assert sorted((r[0], bytes(r[1]).decode()) for r in back.collect()) == sorted(pairs(documents))

@@ -26,6 +26,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,8 @@ from tidegauge.llm.pieces import EXACT, Pattern, PieceIds, patterns, split
 #: Texts of at most so many characters are scanned, and pieces of so many bytes merged, at once.
 LEAF_CHARACTERS = 4096
 LEAF_BYTES = 6
+#: Windows of more bytes are merged with a heap.
+SCANNED_BYTES = 64
 _SETTLED = 2
 _REMEMBERED = 60_000
 
@@ -113,6 +116,38 @@ class Encoder:
             self._short[data] = found
         return found
 
+    def merged_by_heap(self, data: bytes) -> tuple[int, ...]:
+        """What ``merged`` gives, for long byte strings: n log n steps."""
+        ranks, size = self.ranks, len(data)
+        ends = list(range(1, size + 1))  # of the part that starts here; 0 where none does
+        starts = list(range(-1, size))  # of the part that ends here
+        open_pairs = []
+        for i in range(size - 1):
+            rank = ranks.get(data[i : i + 2])
+            if rank is not None:
+                open_pairs.append((rank, i, i + 1, i + 2))
+        heapify(open_pairs)
+        while open_pairs:
+            _, begin, middle, end = heappop(open_pairs)
+            if ends[begin] != middle or ends[middle] != end:
+                continue  # one of the two has been merged since
+            ends[begin], ends[middle], starts[end] = end, 0, begin
+            if begin:
+                before = starts[begin]
+                rank = ranks.get(data[before:end])
+                if rank is not None:
+                    heappush(open_pairs, (rank, before, begin, end))
+            if end < size:
+                behind = ends[end]
+                rank = ranks.get(data[begin:behind])
+                if rank is not None:
+                    heappush(open_pairs, (rank, begin, end, behind))
+        found, at = [], 0
+        while at < size:
+            found.append(ranks[data[at : ends[at]]])
+            at = ends[at]
+        return tuple(found)
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether two ids may stand side by side."""
         return self.merged(self.bytes_of[left] + self.bytes_of[right]) == (left, right)
@@ -125,7 +160,9 @@ class Encoder:
         while True:
             first = len(left) - a
             window = b"".join([self.bytes_of[i] for i in left[first:] + right[:b]])
-            new = self.merged(window) if len(window) <= 64 else self.by_halves(window, False)
+            # Not by halves: a window of the whole of both sides would be cut as before, without end.
+            scanned = len(window) <= SCANNED_BYTES
+            new = self.merged(window) if scanned else self.merged_by_heap(window)
             left_rests = first == 0 or self.compatible(left[first - 1], new[0])
             right_rests = b == len(right) or self.compatible(new[-1], right[b])
             if left_rests and right_rests:
@@ -135,17 +172,16 @@ class Encoder:
             if not right_rests:
                 b = min(len(right), 2 * b)
 
-    def by_halves(self, data: bytes, remember: bool = True) -> tuple[int, ...]:
+    def by_halves(self, data: bytes) -> tuple[int, ...]:
         """Encode halves and join them."""
         if len(data) <= LEAF_BYTES:
             return self.merged(data)
-        if remember:
-            known = self._halves.get(data)
-            if known is not None:
-                return known
+        known = self._halves.get(data)
+        if known is not None:
+            return known
         middle = len(data) // 2
         found = self.join(self.by_halves(data[:middle]), self.by_halves(data[middle:]))
-        if remember and len(data) <= 16:
+        if len(data) <= 16:
             if len(self._halves) > _REMEMBERED:
                 self._halves.clear()
             self._halves[data] = found
