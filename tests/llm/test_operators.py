@@ -80,6 +80,21 @@ def test_token_files(request, name, tokenizer):
     assert order == expected
 
 
+def test_strings_of_added_tokens_are_these_tokens(spark):
+    plain = Tokenizer.from_file(queries.TOKENIZER)
+    end = "<|endoftext|>"
+    texts = [f"a{end}b", "no such string", f"  {end}{end} x\n", "", end[:-1], f"wörter {end}", "tail"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    expected, start = [], 0
+    for key, text in enumerate(texts):
+        ids = [*plain.encode(text, add_special_tokens=False).ids, 2]
+        expected.append((key, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert expected[0][2] == 4
+    got = token_files.token_index(frame, queries.TOKENIZER, 2).collect()
+    assert sorted(tuple(r) for r in got) == expected
+
+
 # 2: top k
 
 

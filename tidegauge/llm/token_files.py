@@ -187,11 +187,11 @@ def _encoder(definition: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndar
 
     A byte-level tokenizer splits by the public pattern first and gives the pieces
     to its model one by one, so the model need see each distinct piece only once.
-    Other tokenizers get whole texts.
+    Other tokenizers get whole texts, and so does every tokenizer where a text holds
+    the string of an added token, which the library takes out first.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark spreads the work
     tokenizer = Tokenizer.from_str(definition)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
     def whole(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -217,7 +217,28 @@ def _encoder(definition: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndar
         return np.fromiter(chain.from_iterable(found), np.uint32, lengths.sum()), lengths
 
     known = PieceIds(pieces, REMEMBERED)
-    return lambda texts: known(list(map(split, texts, patterns(texts))))
+    contents = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.content]
+
+    def by_pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return known(list(map(split, texts, patterns(texts))))
+
+    def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        holds = np.array([any(c in t for c in contents) for t in texts], bool)
+        if not holds.any():
+            return by_pieces(texts)
+        lengths = np.zeros(len(texts), np.int64)
+        found = []
+        for own, kind_of in ((np.flatnonzero(~holds), by_pieces), (np.flatnonzero(holds), whole)):
+            if len(own):
+                ids, lengths[own] = kind_of([texts[i] for i in own.tolist()])
+                found.append((own, ids))
+        starts = np.cumsum(lengths) - lengths
+        together = np.empty(int(lengths.sum()), np.uint32)
+        for own, ids in found:
+            together[ranges(starts[own], lengths[own])] = ids
+        return together, lengths
+
+    return encode
 
 
 def _blocks(
