@@ -4,10 +4,12 @@ import json
 import os
 import time
 from datetime import datetime, timedelta
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidegauge.catalog import QUERIES, split, streams
 from tidegauge.functions.expressions import instant
 from tidegauge.operators.gaps import gap_filter
 from tidegauge.operators.rolling import running_sum
@@ -356,3 +358,39 @@ def test_stream_into_a_named_table(spark, tmp_path):
     to_table(stream.select("k", "v"), "result_table", str(tmp_path / "progress")).awaitTermination()
     assert spark.table("result_table").count() == len(READINGS)
     spark.sql("DROP TABLE result_table")
+
+
+@pytest.fixture
+def years_of_events(spark, tmp_path, monkeypatch):
+    """A folder whose events span several years, each micro-batch one file, the latest first."""
+    for module in (streams, split):
+        monkeypatch.setattr(module, "table_stream", partial(table_stream, files_per_batch=1))
+    place = tmp_path / "events.parquet"
+    for number, year in enumerate((2024, 2020, 2022, 2021)):
+        rows = [
+            (100 * number + i, f"e{i % 2}", i % 3, float(i), datetime(year, 1 + i % 12, 1 + i, 3))
+            for i in range(25)
+        ]
+        fields = "event_id long, event_type string, user_id long, value double, ts timestamp_ntz"
+        spark.createDataFrame(rows, fields).coalesce(1).write.mode("append").parquet(str(place))
+        for file in place.glob("part-*"):
+            if file.stat().st_mtime > 1_700_000_000:
+                os.utime(file, (1_600_000_000 + number, 1_600_000_000 + number))
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("key", ["user_id", "event_type"])
+@pytest.mark.parametrize("rule", ["throttle", "lag_gap", "rolling_sum"])
+def test_queries_take_tables_of_many_years_in_any_order(spark, years_of_events, rule, key):
+    events = spark.read.parquet(f"{years_of_events}/events.parquet")
+    expected = {
+        "throttle": lambda: throttle(events, [key], "ts", ["event_id"], timedelta(hours=6)),
+        "lag_gap": lambda: gap_filter(events, [key], "ts", ["event_id"]),
+        "rolling_sum": lambda: running_sum(events, [key], ["ts", "event_id"], "value", "total"),
+    }[rule]()
+    name = f"stream_{rule}" + ("_split" if key == "event_type" else "")
+    got = QUERIES[name](spark, years_of_events)
+    columns = [c for c in got.columns if c in expected.columns]
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(
+        map(tuple, expected.select(columns).collect())
+    )

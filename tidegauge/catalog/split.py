@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from tidegauge.catalog import batch
 from tidegauge.catalog.registry import query
-from tidegauge.catalog.streams import EVENTS_DISORDER
+from tidegauge.catalog.streams import disorder
 from tidegauge.operators.windows import readings_list
 from tidegauge.plans.shared import new_folder
 from tidegauge.plans.skew import ROWS_PER_TASK
@@ -98,12 +98,12 @@ def _carried_rows(spark, stream, schema, start):
 
 @query(batch.throttle_sql("event_type", "6 HOUR"))
 def stream_throttle_split(spark, folder):
-    stream = _event_stream(spark, folder, "value")
+    stream, lateness = _event_stream(spark, folder, "value"), disorder(spark, folder)
 
     def start(rows, out, progress):
         return carried.throttle_in_batches(
             rows, ["event_type"], "ts", ["event_id"], out, progress,
-            timedelta(hours=6), EVENTS_DISORDER,
+            timedelta(hours=6), lateness,
         )
 
     with small_tasks(spark, table(spark, folder, "events")):
@@ -112,12 +112,12 @@ def stream_throttle_split(spark, folder):
 
 @query(batch.gap_sql("event_type"))
 def stream_lag_gap_split(spark, folder):
-    stream = _event_stream(spark, folder)
+    stream, lateness = _event_stream(spark, folder), disorder(spark, folder)
     before = T.StructField("last_recorded_timestamp", T.TimestampNTZType())
 
     def start(rows, out, progress):
         return carried.gap_in_batches(
-            rows, ["event_type"], "ts", ["event_id"], out, progress, lateness=EVENTS_DISORDER
+            rows, ["event_type"], "ts", ["event_id"], out, progress, lateness=lateness
         )
 
     with small_tasks(spark, table(spark, folder, "events")):
@@ -126,13 +126,13 @@ def stream_lag_gap_split(spark, folder):
 
 @query(batch.rolling_sql("event_type"))
 def stream_rolling_sum_split(spark, folder):
-    stream = _event_stream(spark, folder, "value")
+    stream, lateness = _event_stream(spark, folder, "value"), disorder(spark, folder)
     total = T.StructField("total", T.DoubleType())
 
     def start(rows, out, progress):
         return carried.running_sum_in_batches(
             rows, ["event_type"], "ts", ["event_id"], "value", "total", out, progress,
-            EVENTS_DISORDER,
+            lateness,
         )
 
     with small_tasks(spark, table(spark, folder, "events")):

@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from tidegauge.catalog import batch
 from tidegauge.catalog.registry import query
+from tidegauge.functions.expressions import epoch_micros
 from tidegauge.operators.alerts import decoded_transactions, threshold_alerts
 from tidegauge.schemas import REPORT
 from tidegauge.sinks.writers import alert_messages, json_messages, read_back, report_messages
 from tidegauge.sources.measurements import decoded_measurements, encoded_measurements
-from tidegauge.sources.tables import table_stream
+from tidegauge.sources.tables import table, table_stream
 from tidegauge.streaming import jobs
-from tidegauge.streaming.drain import drained, drained_to_the_end
+from tidegauge.streaming.drain import END_OF_TIME, drained, drained_to_the_end
 
-# A table's files may come in any order of time: no event is later than this.
-EVENTS_DISORDER = timedelta(days=366)
+
+def disorder(spark, folder, name="events", time="ts"):
+    """How late a row of a table may come, whatever the order of its files.
+
+    That is the span of all times, and a second more, as a row right at the watermark
+    is late.  Times so far apart that the last rows would wait for ever are an error.
+    """
+    at = epoch_micros(time)
+    first, last = table(spark, folder, name).agg(F.min(at), F.max(at)).first()
+    if first is None:
+        return timedelta(seconds=1)
+    lateness = timedelta(microseconds=last - first) + timedelta(seconds=1)
+    if timedelta(microseconds=last) + lateness >= END_OF_TIME - datetime(1970, 1, 1):
+        raise ValueError(f"the times of {name} are too far apart to be put in order as a stream")
+    return lateness
 
 
 def _measurements(spark, folder, channel):
@@ -72,21 +86,22 @@ def stream_tumble_count(spark, folder):
 @query(batch.throttle_sql("user_id", "6 HOUR"))
 def stream_throttle(spark, folder):
     events = table_stream(spark, folder, "events").select("event_id", "user_id", "ts", "value")
-    gap = timedelta(hours=6)
+    gap, lateness = timedelta(hours=6), disorder(spark, folder)
     return drained_to_the_end(
         events,
         "ts",
-        lambda e: jobs.throttle_stream(e, ["user_id"], "ts", ["event_id"], gap, EVENTS_DISORDER),
+        lambda e: jobs.throttle_stream(e, ["user_id"], "ts", ["event_id"], gap, lateness),
     )
 
 
 @query(batch.gap_sql("user_id"))
 def stream_lag_gap(spark, folder):
     events = table_stream(spark, folder, "events").select("event_id", "user_id", "ts")
+    lateness = disorder(spark, folder)
     return drained_to_the_end(
         events,
         "ts",
-        lambda e: jobs.gap_stream(e, ["user_id"], "ts", ["event_id"], lateness=EVENTS_DISORDER),
+        lambda e: jobs.gap_stream(e, ["user_id"], "ts", ["event_id"], lateness=lateness),
     )
 
 
@@ -94,9 +109,11 @@ def stream_lag_gap(spark, folder):
 def stream_rolling_sum(spark, folder):
     events = table_stream(spark, folder, "events").select("event_id", "user_id", "ts", "value")
 
+    lateness = disorder(spark, folder)
+
     def rule(rows):
         return jobs.running_sum_stream(
-            rows, ["user_id"], "ts", ["event_id"], "value", "total", lateness=EVENTS_DISORDER
+            rows, ["user_id"], "ts", ["event_id"], "value", "total", lateness=lateness
         )
 
     summed = drained_to_the_end(events, "ts", rule)
