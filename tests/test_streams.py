@@ -9,7 +9,8 @@ from functools import partial
 import pytest
 from pyspark.sql import functions as F
 
-from tidegauge.catalog import QUERIES, split, streams
+from oracle import connected, oracle_rows, spark_rows
+from tidegauge.catalog import ORACLES, QUERIES, split, streams
 from tidegauge.functions.expressions import instant
 from tidegauge.operators.gaps import gap_filter
 from tidegauge.operators.rolling import running_sum
@@ -364,7 +365,8 @@ def test_stream_into_a_named_table(spark, tmp_path):
 def years_of_events(spark, tmp_path, monkeypatch):
     """A folder whose events span several years, each micro-batch one file, the latest first."""
     for module in (streams, split):
-        monkeypatch.setattr(module, "table_stream", partial(table_stream, files_per_batch=1))
+        own = partial(table_stream, files_per_batch=1)
+        monkeypatch.setattr(module, "table_stream", own, raising=False)
     place = tmp_path / "events.parquet"
     for number, year in enumerate((2024, 2020, 2022, 2021)):
         rows = [
@@ -394,3 +396,15 @@ def test_queries_take_tables_of_many_years_in_any_order(spark, years_of_events,
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(
         map(tuple, expected.select(columns).collect())
     )
+
+
+@pytest.mark.parametrize("rule", ["throttle", "lag_gap", "rolling_sum"])
+def test_queries_split_a_large_channel(spark, monkeypatch, rows_per_task, rule):
+    def one_task(*args, **options):
+        raise AssertionError("one task holds all waiting rows of a key")
+
+    for name in ("throttle_stream", "gap_stream", "running_sum_stream"):
+        monkeypatch.setattr(streams.jobs, name, one_task)
+    folder, name = "/root/testdata/sf0.001", f"stream_{rule}"
+    rows_per_task(20)
+    assert spark_rows(QUERIES[name](spark, folder)) == oracle_rows(connected(folder), ORACLES[name])

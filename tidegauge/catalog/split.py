@@ -11,17 +11,13 @@ from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidegauge.catalog import batch
 from tidegauge.catalog.registry import query
-from tidegauge.catalog.streams import disorder
+from tidegauge.catalog.streams import followed_gap, followed_sum, followed_throttle
 from tidegauge.operators.windows import readings_list
-from tidegauge.plans.shared import new_folder
 from tidegauge.plans.skew import ROWS_PER_TASK
-from tidegauge.sources.tables import table, table_stream
-from tidegauge.streaming import carried
-from tidegauge.streaming.drain import run_to_the_end
+from tidegauge.sources.tables import table
 
 _SHARE = 16
 
@@ -85,56 +81,19 @@ def tumble_readings_list_split(spark, folder):
         return readings_list(events, "event_type", "ts", "value", "event_id", timedelta(days=30))
 
 
-def _event_stream(spark, folder, *columns):
-    return table_stream(spark, folder, "events").select("event_id", "event_type", "ts", *columns)
-
-
-def _carried_rows(spark, stream, schema, start):
-    """The rows of ``start(stream, folder, checkpoint)``, run to the end under small tasks."""
-    out, progress = new_folder(spark, "carried"), new_folder(spark, "progress")
-    run_to_the_end(stream, "ts", lambda whole: start(whole, out, progress))
-    return carried.results(spark, out, progress, schema)
-
-
 @query(batch.throttle_sql("event_type", "6 HOUR"))
 def stream_throttle_split(spark, folder):
-    stream, lateness = _event_stream(spark, folder, "value"), disorder(spark, folder)
-
-    def start(rows, out, progress):
-        return carried.throttle_in_batches(
-            rows, ["event_type"], "ts", ["event_id"], out, progress,
-            timedelta(hours=6), lateness,
-        )
-
     with small_tasks(spark, table(spark, folder, "events")):
-        return _carried_rows(spark, stream, stream.schema, start)
+        return followed_throttle(spark, folder, "event_type")
 
 
 @query(batch.gap_sql("event_type"))
 def stream_lag_gap_split(spark, folder):
-    stream, lateness = _event_stream(spark, folder), disorder(spark, folder)
-    before = T.StructField("last_recorded_timestamp", T.TimestampNTZType())
-
-    def start(rows, out, progress):
-        return carried.gap_in_batches(
-            rows, ["event_type"], "ts", ["event_id"], out, progress, lateness=lateness
-        )
-
     with small_tasks(spark, table(spark, folder, "events")):
-        return _carried_rows(spark, stream, T.StructType([*stream.schema, before]), start)
+        return followed_gap(spark, folder, "event_type")
 
 
 @query(batch.rolling_sql("event_type"))
 def stream_rolling_sum_split(spark, folder):
-    stream, lateness = _event_stream(spark, folder, "value"), disorder(spark, folder)
-    total = T.StructField("total", T.DoubleType())
-
-    def start(rows, out, progress):
-        return carried.running_sum_in_batches(
-            rows, ["event_type"], "ts", ["event_id"], "value", "total", out, progress,
-            lateness,
-        )
-
     with small_tasks(spark, table(spark, folder, "events")):
-        summed = _carried_rows(spark, stream, T.StructType([*stream.schema, total]), start)
-    return summed.select("event_id", "event_type", F.round("total", 2).alias("total"))
+        return followed_sum(spark, folder, "event_type")

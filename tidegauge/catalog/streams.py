@@ -5,17 +5,19 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.catalog import batch
 from tidegauge.catalog.registry import query
 from tidegauge.functions.expressions import epoch_micros
 from tidegauge.operators.alerts import decoded_transactions, threshold_alerts
+from tidegauge.plans.shared import new_folder
 from tidegauge.schemas import REPORT
 from tidegauge.sinks.writers import alert_messages, json_messages, read_back, report_messages
 from tidegauge.sources.measurements import decoded_measurements, encoded_measurements
 from tidegauge.sources.tables import table, table_stream
-from tidegauge.streaming import jobs
-from tidegauge.streaming.drain import END_OF_TIME, drained, drained_to_the_end
+from tidegauge.streaming import carried, jobs
+from tidegauge.streaming.drain import END_OF_TIME, drained, run_to_the_end
 
 
 def disorder(spark, folder, name="events", time="ts"):
@@ -83,41 +85,70 @@ def stream_tumble_count(spark, folder):
     return drained(jobs.count_stream(events, "user_id", "ts", timedelta(hours=1)))
 
 
+# Rules that follow a channel: all rows wait until the table's end, so they wait in a table
+# and not in one task's state, and a channel too large for a task is split.
+
+
+def _event_stream(spark, folder, key, *columns):
+    return table_stream(spark, folder, "events").select("event_id", key, "ts", *columns)
+
+
+def _carried_rows(spark, stream, schema, start):
+    """The rows of ``start(stream, folder, checkpoint)``, run to the end."""
+    out, progress = new_folder(spark, "carried"), new_folder(spark, "progress")
+    run_to_the_end(stream, "ts", lambda whole: start(whole, out, progress))
+    return carried.results(spark, out, progress, schema)
+
+
+def followed_throttle(spark, folder, key):
+    stream, lateness = _event_stream(spark, folder, key, "value"), disorder(spark, folder)
+
+    def start(rows, out, progress):
+        return carried.throttle_in_batches(
+            rows, [key], "ts", ["event_id"], out, progress, timedelta(hours=6), lateness
+        )
+
+    return _carried_rows(spark, stream, stream.schema, start)
+
+
+def followed_gap(spark, folder, key):
+    stream, lateness = _event_stream(spark, folder, key), disorder(spark, folder)
+    before = T.StructField("last_recorded_timestamp", stream.schema["ts"].dataType)
+
+    def start(rows, out, progress):
+        return carried.gap_in_batches(
+            rows, [key], "ts", ["event_id"], out, progress, lateness=lateness
+        )
+
+    return _carried_rows(spark, stream, T.StructType([*stream.schema, before]), start)
+
+
+def followed_sum(spark, folder, key):
+    stream, lateness = _event_stream(spark, folder, key, "value"), disorder(spark, folder)
+    total = T.StructField("total", T.DoubleType())
+
+    def start(rows, out, progress):
+        return carried.running_sum_in_batches(
+            rows, [key], "ts", ["event_id"], "value", "total", out, progress, lateness
+        )
+
+    summed = _carried_rows(spark, stream, T.StructType([*stream.schema, total]), start)
+    return summed.select("event_id", key, F.round("total", 2).alias("total"))
+
+
 @query(batch.throttle_sql("user_id", "6 HOUR"))
 def stream_throttle(spark, folder):
-    events = table_stream(spark, folder, "events").select("event_id", "user_id", "ts", "value")
-    gap, lateness = timedelta(hours=6), disorder(spark, folder)
-    return drained_to_the_end(
-        events,
-        "ts",
-        lambda e: jobs.throttle_stream(e, ["user_id"], "ts", ["event_id"], gap, lateness),
-    )
+    return followed_throttle(spark, folder, "user_id")
 
 
 @query(batch.gap_sql("user_id"))
 def stream_lag_gap(spark, folder):
-    events = table_stream(spark, folder, "events").select("event_id", "user_id", "ts")
-    lateness = disorder(spark, folder)
-    return drained_to_the_end(
-        events,
-        "ts",
-        lambda e: jobs.gap_stream(e, ["user_id"], "ts", ["event_id"], lateness=lateness),
-    )
+    return followed_gap(spark, folder, "user_id")
 
 
 @query(batch.rolling_sql("user_id"))
 def stream_rolling_sum(spark, folder):
-    events = table_stream(spark, folder, "events").select("event_id", "user_id", "ts", "value")
-
-    lateness = disorder(spark, folder)
-
-    def rule(rows):
-        return jobs.running_sum_stream(
-            rows, ["user_id"], "ts", ["event_id"], "value", "total", lateness=lateness
-        )
-
-    summed = drained_to_the_end(events, "ts", rule)
-    return summed.select("event_id", "user_id", F.round("total", 2).alias("total"))
+    return followed_sum(spark, folder, "user_id")
 
 
 @query(
