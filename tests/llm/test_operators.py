@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -423,6 +424,22 @@ def test_line_dedup_where_ids_are_equal_or_missing(spark):
     assert {u: n for u, n in left.items() if u} == {a: 1, b: 1, c: 1, d: 1}
 
 
+def test_pipeline_removes_passages_of_short_lines(spark):
+    verse = [" ".join(f"v{i}w{j}" for j in range(6)) for i in range(12)]
+    rows = [
+        (1, "\n".join(verse)),
+        (2, "\n".join(["own line", *verse[:5], "", *verse[5:9], "end"])),  # 54 words in a row
+        (3, "\n".join([*verse[:4], "between", *verse[4:8]])),  # 24 words, twice
+        (4, "\n".join(verse[:9])),
+        (5, None),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = corpus_pipeline.line_dedup_stage(spark, frame, "")
+    assert {r["doc_id"]: r["text"] for r in left.collect()} == {
+        1: rows[0][1], 2: "own line\n\nend", 3: rows[2][1], 4: "", 5: None,
+    }
+
+
 # 9: languages
 
 
