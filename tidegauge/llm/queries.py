@@ -13,13 +13,16 @@ from pyspark.sql import functions as F
 
 from tidegauge.llm import (
     bpe,
+    centroids,
     fingerprints,
+    hard_negatives,
     language,
     licenses,
     line_dedup,
     mixing,
     quality,
     simhash,
+    token_counts,
     token_files,
     topk,
 )
@@ -28,8 +31,11 @@ from tidegauge.sources.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 EVERY = 100
+WRONG = 7
+LABELS = 10
 
 
 def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,6 +107,28 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_report(table(spark, folder, "documents"))
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of all documents, and how much of each fits the limit."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    counted = token_counts.counted(documents, PIECES, prefixes=False)
+    over = F.col("n_tokens") > token_counts.LIMIT
+    return counted.select("doc_id", "n_bytes", "n_tokens", over.alias("over_limit"), "fitting_chars")
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, where every seventh has a wrong label."""
+    key, label = F.col("vec_id"), F.col("label")
+    wrong = F.when(key % WRONG == 0, (label + 1) % LABELS).otherwise(label)
+    return hard_negatives.hard_negatives(
+        table(spark, folder, "embeddings"), key % EVERY == 0, wrong
+    )
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors in 16 clusters after three rounds."""
+    return centroids.cluster_report(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -114,6 +142,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_line_dedup,
         op9_language,
         op10_licenses,
+        op11_token_counts,
+        op12_hard_negatives,
+        op13_centroids,
     )
 }
 
@@ -203,9 +234,77 @@ _LICENSES_SQL = f"""
     FROM read LEFT JOIN placed USING (doc_id) LEFT JOIN matched USING (doc_id)
 """
 
-#: SQL with the same rows; trained models, BPE, fingerprints and the mix have none.
+_NEGATIVES_SQL = f"""
+    WITH kept AS (
+        SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v,
+            CASE WHEN vec_id % {WRONG} = 0 THEN (label + 1) % {LABELS} ELSE label END AS label
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+            list_inner_product(a.v, r.v)::BIGINT AS score
+        FROM kept a JOIN kept r ON a.vec_id <> r.vec_id WHERE a.vec_id % {EVERY} = 0),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, (row_number() OVER best)::INTEGER AS rank,
+        vec_id AS negative_id, positive_score, score AS negative_score
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+    WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+    QUALIFY rank <= 5
+"""
+
+
+def _clusters_sql(k: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    """Lloyd's rounds written out, one after another."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS row, vec_id,
+                [floor({dims} * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE len(embedding) = {dims}
+                AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)""",
+        f"""c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), vec_id, v) - 1 AS c, v AS m
+            FROM kept QUALIFY c < {k})""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+                SELECT row, vec_id, v, c,
+                    list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(v, m)])::BIGINT AS d
+                FROM kept, c{i}
+                QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, c) = 1)"""
+        )
+        steps.append(
+            f"""s{i} AS (
+                SELECT c, place, sum(x) AS s, count(*) AS n
+                FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS place FROM a{i})
+                GROUP BY c, place)"""
+        )
+        steps.append(
+            f"""c{i + 1} AS MATERIALIZED (
+                SELECT c, coalesce(moved, m) AS m FROM c{i} LEFT JOIN (
+                    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY place) AS moved
+                    FROM s{i} GROUP BY c) USING (c))"""
+        )
+    return f"""
+        WITH {", ".join(steps)}
+        SELECT vec_id, c::INTEGER AS cluster, d AS distance,
+            (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+            (sum(d) OVER ())::BIGINT AS inertia,
+            sha256(array_to_string(m, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} USING (c)
+    """
+
+
+#: SQL with the same rows; trained models, BPE, token counts, fingerprints and the mix have none.
 ORACLES: dict[str, str] = {
     "op2_top_k": _TOP_K_SQL,
     "op8_line_dedup": _LINES_SQL,
     "op10_licenses": _LICENSES_SQL,
+    "op12_hard_negatives": _NEGATIVES_SQL,
+    "op13_centroids": _clusters_sql(),
 }
