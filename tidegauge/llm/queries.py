@@ -81,7 +81,7 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents without their repeated lines, and where these stood."""
+    """All documents without the passages of earlier ones, and where these stood."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
     left = line_dedup.without_repeats(documents)
     span = F.transform("removed_spans", lambda s: F.concat_ws("-", s["begin"], s["end"]))
@@ -162,29 +162,87 @@ _TOP_K_SQL = f"""
     QUALIFY rank <= 10
 """
 
+_BLANK = "[\\x09-\\x0D\\x20]"
+
 _LINES_SQL = f"""
-    WITH split AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
-    placed AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM split),
-    units AS (
-        SELECT *, trim(regexp_replace(lower(line), '[\\x09-\\x0D\\x20]+', ' ', 'g')) AS unit,
-            sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY place) - 1 AS stop
+    WITH lines AS (
+        SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+            generate_subscripts(string_split(text, chr(10)), 1) AS line_no
+        FROM documents),
+    placed AS (
+        SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY line_no)
+            - length(line) - 1 AS line_at
+        FROM lines),
+    tokens AS (
+        SELECT * EXCLUDE line, length(line) AS line_length,
+            unnest(string_split_regex(line, '{_BLANK}')) AS token,
+            generate_subscripts(string_split_regex(line, '{_BLANK}'), 1) AS token_no
         FROM placed),
+    words AS (
+        SELECT *, line_at + t_at AS b, line_at + t_at + length(token) AS e, lower(token) AS word,
+            row_number() OVER (PARTITION BY doc_id ORDER BY line_no, token_no) AS no
+        FROM (SELECT *, sum(length(token) + 1) OVER (PARTITION BY doc_id, line_no
+            ORDER BY token_no) - length(token) - 1 AS t_at FROM tokens)
+        WHERE token <> ''),
+    starting AS (
+        SELECT *, coalesce(line_no <> lag(line_no) OVER here
+            OR contains('{line_dedup.CUT_DIGITS}', lag(md5(word)[1]) OVER here), true) AS starts
+        FROM words WINDOW here AS (PARTITION BY doc_id ORDER BY no)),
+    parts AS (
+        SELECT *, sum(starts::INT) OVER (PARTITION BY doc_id ORDER BY no) AS part FROM starting),
+    numbered AS (
+        SELECT *, (row_number() OVER (PARTITION BY doc_id, part ORDER BY no) - 1)
+            // {line_dedup.UNIT_WORDS} AS nth
+        FROM parts),
+    units AS (
+        SELECT doc_id, part, nth, string_agg(word, ' ' ORDER BY no) AS unit, count(*) AS n,
+            min(no) AS first_no
+        FROM numbered GROUP BY ALL),
+    pairs AS (
+        SELECT *, row_number() OVER here AS place, unit || ' ' || lead(unit) OVER here AS pair
+        FROM units WINDOW here AS (PARTITION BY doc_id ORDER BY first_no)),
     ranked AS (
-        SELECT *, len(string_split(unit, ' ')) >= {line_dedup.MIN_WORDS} AS long,
-            row_number() OVER same AS nth, first_value(doc_id) OVER same AS first_id
-        FROM units WINDOW same AS (PARTITION BY unit ORDER BY doc_id, place)),
-    decided AS (SELECT *, long AND nth > 1 AS gone FROM ranked),
+        SELECT *, min(doc_id) OVER (PARTITION BY pair) AS first_id FROM pairs
+        WHERE pair IS NOT NULL),
+    repeated AS (
+        SELECT doc_id, place, first_id,
+            place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run
+        FROM ranked WHERE first_id < doc_id),
+    runs AS (
+        SELECT doc_id, run, min(place) AS first_place, max(place) AS last_place
+        FROM repeated GROUP BY doc_id, run),
+    lost AS (
+        SELECT p.doc_id, part, nth, r.run, f.first_id
+        FROM pairs p JOIN runs r
+            ON p.doc_id = r.doc_id AND place BETWEEN first_place AND last_place + 1
+        JOIN repeated f ON f.doc_id = r.doc_id AND f.place = least(p.place, last_place)
+        QUALIFY sum(n) OVER (PARTITION BY p.doc_id, r.run) >= {line_dedup.RUN_WORDS}),
+    owned AS (
+        SELECT *, coalesce(lead(b) OVER (PARTITION BY doc_id, line_no ORDER BY no),
+            line_at + line_length) AS stop
+        FROM numbered LEFT JOIN lost USING (doc_id, part, nth)),
+    spans AS (
+        SELECT doc_id, line_no, run, min(b) AS b, max(e) AS e, arg_min(first_id, no) AS first_id
+        FROM owned WHERE run IS NOT NULL GROUP BY ALL),
+    listed AS (
+        SELECT doc_id, count(*) AS n_removed,
+            string_agg(b::BIGINT || '-' || e::BIGINT, ',' ORDER BY b) AS removed,
+            string_agg(first_id::VARCHAR, ',' ORDER BY b) AS first_ids
+        FROM spans GROUP BY doc_id),
+    left_lines AS (
+        SELECT o.doc_id, line_no, count(*) FILTER (run IS NULL) AS n_left,
+            substr(any_value(text), any_value(line_at)::BIGINT + 1, (min(b) - any_value(line_at))::BIGINT)
+            || coalesce(string_agg(substr(text, b::BIGINT + 1, (stop - b)::BIGINT), '' ORDER BY no)
+                FILTER (run IS NULL), '') AS line
+        FROM owned o JOIN documents USING (doc_id) GROUP BY ALL),
     joined AS (
-        SELECT doc_id, count(*) FILTER (gone) AS n_removed,
-            coalesce(string_agg((stop - length(line))::BIGINT || '-' || stop::BIGINT, ','
-                ORDER BY place) FILTER (gone), '') AS removed,
-            coalesce(string_agg(first_id::VARCHAR, ',' ORDER BY place) FILTER (gone), '')
-                AS first_ids,
-            coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text
-        FROM decided GROUP BY doc_id)
+        SELECT p.doc_id, string_agg(coalesce(l.line, p.line), chr(10) ORDER BY line_no) AS text
+        FROM placed p LEFT JOIN left_lines l USING (doc_id, line_no)
+        WHERE coalesce(n_left, 1) > 0 GROUP BY p.doc_id)
     SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed,
-        coalesce(first_ids, '') AS first_ids, CASE WHEN d.text IS NOT NULL THEN j.text END AS text
-    FROM documents d LEFT JOIN joined j USING (doc_id)
+        coalesce(first_ids, '') AS first_ids,
+        CASE WHEN d.text IS NOT NULL THEN coalesce(j.text, '') END AS text
+    FROM documents d LEFT JOIN joined j USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
