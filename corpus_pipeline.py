@@ -26,11 +26,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand elsewhere; their length is counted anew.
-
-    Short lines go too where repeated ones in a row have enough words.
-    """
-    left = line_dedup.without_repeats(docs, spans=None, run_words=line_dedup.RUN_WORDS)
+    """Documents without the passages of earlier ones; their length is counted anew."""
+    left = line_dedup.without_repeats(docs, spans=None)
     return line_dedup.recounted(left)
 
 
