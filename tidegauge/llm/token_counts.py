@@ -22,6 +22,7 @@ import re
 from collections.abc import Iterator
 from itertools import pairwise
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -33,7 +34,7 @@ from tidegauge.llm.common import remembered, slices, texts_of
 LIMIT = 4096
 #: Code points between two stored counts.
 STEP = 1024
-_UNITS_KEPT = 500_000
+_UNITS_KEPT = 1_000_000
 _PAIRS_KEPT = 500_000
 _NEVER = 1 << 60
 # No piece has a blank behind another character, or a line feed next to one.
@@ -55,7 +56,6 @@ class Pieces:
         # Equal scores are one rank: the leftmost of them is merged first.
         ranks = {s: i for i, s in enumerate(sorted(set(scores.values()), reverse=True))}
         self.rank = {piece: ranks[score] for piece, score in scores.items()}
-        self.longest = max(map(len, self.rank), default=1)
         #: Per piece that merging gives whole: its parts and their parts along both edges.
         self.right: dict[str, list[tuple[str, int, int]]] = {}
         self.left: dict[str, list[tuple[str, int, int]]] = {}
@@ -71,7 +71,12 @@ class Pieces:
         )
         self.names = [*halves, *(p for p in self.rank if len(p) == 1)]
         self.numbers = {piece: i for i, piece in enumerate(self.names)}
+        self.sizes = [len(p) for p in self.names]
         self.cost = [1] * len(self.names)
+        self.ending = ahocorasick.Automaton()
+        for number, piece in enumerate(self.names):
+            self.ending.add_word(piece, number)
+        self.ending.make_automaton()
         self.units: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
 
@@ -122,40 +127,57 @@ class Pieces:
         return True
 
     def _number(self, char: str) -> int:
-        """The number of a code point that is no piece."""
-        self.numbers[char] = len(self.names)
-        self.names.append(char)
-        self.cost.append(1 if char in self.rank else len(char.encode()))
-        return self.numbers[char]
+        """The number of a code point that is no piece; it takes its bytes as tokens."""
+        number = self.numbers.get(char)
+        if number is None:
+            number = self.numbers[char] = len(self.names)
+            self.names.append(char)
+            self.sizes.append(1)
+            self.cost.append(len(char.encode()))
+        return number
+
+    def _fits(self, before: int, piece: int) -> bool:
+        """Whether two pieces stay apart, remembered."""
+        pair = before << 24 | piece
+        fits = self.pairs.get(pair)
+        if fits is None:
+            if len(self.pairs) >= _PAIRS_KEPT:
+                self.pairs.clear()
+            fits = self.pairs[pair] = self.apart(self.names[before], self.names[piece])
+        return fits
 
     def _counted(self, unit: str) -> list[int]:
         """Counts of all prefixes of a unit, the empty one first."""
-        counts, lasts = [0], [0]
-        numbers, pairs, cost = self.numbers, self.pairs, self.cost
-        for end in range(1, len(unit) + 1):
-            for start in range(max(0, end - self.longest), end):
-                piece = numbers.get(unit[start:end])
-                if piece is None:
-                    if start + 1 < end:
-                        continue
-                    piece = self._number(unit[start:end])
-                before = lasts[start]
-                if start:
-                    pair = before << 24 | piece
-                    fits = pairs.get(pair)
-                    if fits is None:
-                        if len(pairs) >= _PAIRS_KEPT:
-                            pairs.clear()
-                        fits = pairs[pair] = self.apart(self.names[before], self.names[piece])
-                    if not fits:
-                        continue
-                counts.append(counts[start] + cost[piece])
-                lasts.append(piece)
-                break
-            else:
-                raise ValueError(f"no piece ends at {end} of {unit[:100]!r}")
+        counts, lasts, done = [0], [0], 0
+        sizes, cost, fits, known = self.sizes, self.cost, self._fits, self.pairs.get
+        # All pieces that end at a place, place by place, the longest first.
+        for at, piece in self.ending.iter(unit):
+            while done < at:
+                done = self._odd(unit, done, counts, lasts)
+            if done > at:
+                continue
+            start = at + 1 - sizes[piece]
+            before = lasts[start]
+            if start:
+                stays = known(before << 24 | piece)
+                if not (fits(before, piece) if stays is None else stays):
+                    continue
+            counts.append(counts[start] + cost[piece])
+            lasts.append(piece)
+            done = at + 1
+        while done < len(unit):
+            done = self._odd(unit, done, counts, lasts)
         return counts
 
+    def _odd(self, unit: str, at: int, counts: list[int], lasts: list[int]) -> int:
+        """Count a code point at which no piece ends: it is its own bytes."""
+        if unit[at] in self.rank:
+            raise ValueError(f"no piece ends at {at} of {unit[:100]!r}")
+        piece = self._number(unit[at])
+        counts.append(counts[at] + self.cost[piece])
+        lasts.append(piece)
+        return at + 1
+
     def _changes(self, unit: str) -> bytes | None:
         """The changes from each prefix of a unit to the next, if each fits a byte."""
         counts = self._counted(unit)
