@@ -185,9 +185,12 @@ _LINES_SQL = f"""
             ORDER BY token_no) - length(token) - 1 AS t_at FROM tokens)
         WHERE token <> ''),
     starting AS (
-        SELECT *, coalesce(line_no <> lag(line_no) OVER here
-            OR contains('{line_dedup.CUT_DIGITS}', lag(md5(word)[1]) OVER here), true) AS starts
-        FROM words WINDOW here AS (PARTITION BY doc_id ORDER BY no)),
+        SELECT *, coalesce(line_no <> lag(line_no) OVER here, true)
+            OR coalesce((3 * lag(digit, 2) OVER here + lag(digit) OVER here + 1)
+                % {line_dedup.CUT_DIVISOR} = 0 AND lag(line_no, 2) OVER here = line_no, false)
+                AS starts
+        FROM (SELECT *, strpos('0123456789abcdef', md5(word)[1]) - 1 AS digit FROM words)
+        WINDOW here AS (PARTITION BY doc_id ORDER BY no)),
     parts AS (
         SELECT *, sum(starts::INT) OVER (PARTITION BY doc_id ORDER BY no) AS part FROM starting),
     numbered AS (
