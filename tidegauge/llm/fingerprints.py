@@ -249,7 +249,9 @@ def _with_guests(documents: DataFrame, key: str, text: str) -> DataFrame:
     first = chosen.where(F.col("doc_id").isin(ids) if ids else F.lit(False))
     if None in homes:
         first = first.unionByName(chosen.where(F.col("doc_id").isNull()))
-    first = first.groupBy("doc_id").agg(F.min("text").alias("text"))
+    # As in the order of a bucket, a missing text comes first.
+    head = F.min(F.struct(F.col("text").isNotNull().alias("known"), "text"))
+    first = first.groupBy("doc_id").agg(head.alias("head")).select("doc_id", "head.text")
     home = documents.sparkSession.createDataFrame(list(homes.items()), "id long, bucket int")
     guests = first.join(F.broadcast(home), F.col("doc_id").eqNullSafe(F.col("id"))).select(
         "doc_id", "text", "bucket", F.lit(1).alias("guest")

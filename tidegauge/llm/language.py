@@ -183,7 +183,10 @@ def labelled(scores: np.ndarray, counts: np.ndarray, penalty: float = SWITCH) ->
         rise = line - np.minimum.accumulate(line)
         most = np.maximum.reduceat(rise, ends - counts + np.arange(n_texts))
         gain = np.maximum(gain, most)
-    for text in used[gain[used] >= penalty].tolist():
+    # Beside the base, one run pays for two switches or for one at an end of the text; a
+    # path without the base has k runs and k - 1 switches, so that its best run gains more
+    # than (k - 1) / k of a penalty. Below half a penalty the base alone is best.
+    for text in used[gain[used] >= penalty / 2].tolist():
         part = slice(int(ends[text] - counts[text]), int(ends[text]))
         labels[part] = viterbi(scores[part], penalty)
     return labels

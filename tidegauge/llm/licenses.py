@@ -1,22 +1,24 @@
-"""License scans: phrases in a text, and an exact set-similarity join on its lines.
+"""License scans: phrases in a text, and an exact set-similarity join on its blocks.
 
-A template is a set of words. A block (a line, as the set of its words) matches a
-template if it holds at least a given share of the template's words. Words are
-ordered by the number of blocks they occur in, over the whole table, rarest first.
-With ``t`` words in a template and ``o = ceil(share * t)`` of them needed,
+A template is a set of ``t`` words. A block is any run of ``2 t`` words of a text, across
+line ends; it matches a template if it holds at least a given share of the template's
+words. Words are ordered by the number of texts they occur in, over the whole table,
+rarest first. With ``o = ceil(share * t)`` words needed, a text that has a matching block
 
-- prefix: a matching block holds one of the template's ``t - o + 1`` rarest words;
-- length: it holds at least ``o`` words of the templates at all;
-- position: from their first common word on, both have ``o`` words left.
+- prefix: holds one of the template's ``t - o + 1`` rarest words;
+- length: holds at least ``o`` words of the templates at all;
+- position: from its and the template's first common word on, has ``o`` words left.
 
-What passes is verified. Only words of templates take part; templates are a small
-fixed table and the only thing that is sent to all tasks. Everything is made of
-DataFrame functions.
+Of the texts that pass, the blocks are verified: every block that begins with a word of
+the template, which some best block does. Only words of templates take part; templates
+are a small fixed table and the only thing that is sent to all tasks. Everything is made
+of DataFrame functions.
 """
 
 from __future__ import annotations
 
 import math
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,7 +65,8 @@ TEMPLATES = (
 
 def words(text: Column) -> Column:
     """Words of a text in order: runs of letters, digits and anything beyond ASCII."""
-    found = F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS, -1)
+    lowered = F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase)
+    found = F.split(lowered, SEPARATORS, -1)
     return F.array_remove(found, "")
 
 
@@ -86,12 +89,26 @@ def _starts(tokens: str, phrase: str) -> Column:
     return F.when(enough, places).otherwise(F.array().cast("array<int>"))
 
 
-def _blocks(documents: DataFrame, vocabulary: Column) -> DataFrame:
-    """Lines as sets: the words of the vocabulary that a line holds, in its order."""
-    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
-    return documents.select("doc_id", "mark", F.explode(lines).alias("line")).select(
-        "doc_id", "mark", F.array_intersect(vocabulary, words(F.col("line"))).alias("held")
-    )
+def _sets(documents: DataFrame, vocabulary: Column) -> DataFrame:
+    """Texts as their words, and as the words of the vocabulary they hold, in its order."""
+    tokens = documents.select("doc_id", "mark", words(F.col("text")).alias("words"))
+    return tokens.withColumn("held", F.array_intersect(vocabulary, F.col("words")))
+
+
+def _best_block() -> tuple[Column, Column]:
+    """The places ``own`` of a template's words, and the most of these words in a block."""
+    placed = F.transform("words", lambda w, i: F.struct(i.alias("i"), w.alias("w")))
+    own = F.filter(placed, lambda p: F.array_contains(F.col("tokens"), p["w"]))
+    length = F.col("size") * 2
+
+    def held(first: Column, nth: Column) -> Column:
+        # A block holds no more places of these words than it has words.
+        near = F.slice("own", nth + 1, length)
+        inside = F.filter(near, lambda p: p["i"] < first["i"] + length)
+        return F.size(F.array_distinct(F.transform(inside, lambda p: p["w"])))
+
+    most = F.array_max(F.transform("own", held))
+    return own, most
 
 
 def _marked(documents: DataFrame, key: str, text: str) -> DataFrame:
@@ -110,18 +127,19 @@ def template_matches(
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """``doc_id``, ``mark``, ``label`` and ``containment`` of every line that meets a template.
+    """``doc_id``, ``mark``, ``label`` and ``containment`` of every text and template that
+    match: the containment is that of the text's best block.
 
-    A line may match several templates, and equal lines give equal rows. ``mark`` is a
-    hash of the whole text, by which rows of ``documents`` with an equal id are told
-    apart. A null or empty text has no matches.
+    A text may match several templates. ``mark`` is a hash of the whole text, by which
+    rows of ``documents`` with an equal id are told apart. A null or empty text has no
+    matches.
     """
     spark = documents.sparkSession
     own = _marked(documents, key, text)
     sets = [sorted(set(t.split())) for t, _ in templates]
     vocabulary = sorted(set().union(*sets))
     seen = (
-        _blocks(own, _literal(vocabulary))
+        _sets(own, _literal(vocabulary))
         .select(F.explode("held").alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -143,11 +161,11 @@ def template_matches(
         "token string, template int, i int, size int, need int, label string, tokens array<string>",
     )
     prefixes = sorted({r[0] for r in rows}, key=place.__getitem__)
-    blocks = _blocks(own, _literal(vocabulary)).where(
+    texts = _sets(own, _literal(vocabulary)).where(
         (F.size("held") >= min(needs)) & F.arrays_overlap("held", _literal(prefixes))
     )
     candidates = (
-        blocks.select("doc_id", "mark", "held", F.posexplode("held").alias("j", "token"))
+        texts.select("doc_id", "mark", "words", "held", F.posexplode("held").alias("j", "token"))
         .join(F.broadcast(index), "token")
         .where(
             (F.size("held") >= F.col("need"))
@@ -156,10 +174,15 @@ def template_matches(
     )
     common = F.array_intersect("tokens", "held")
     # The first common word is enough: a pair is looked at once.
+    pairs = candidates.withColumn("common", common).where(
+        (F.size("common") >= F.col("need")) & (F.get("common", F.lit(0)) == F.col("token"))
+    )
+    places, most = _best_block()
     return (
-        candidates.withColumn("common", common)
-        .where((F.size("common") >= F.col("need")) & (F.get("common", F.lit(0)) == F.col("token")))
-        .select("doc_id", "mark", "label", (F.size("common") / F.col("size")).alias("containment"))
+        pairs.withColumn("own", places)
+        .withColumn("most", most)
+        .where(F.col("most") >= F.col("need"))
+        .select("doc_id", "mark", "label", (F.col("most") / F.col("size")).alias("containment"))
     )
 
 
@@ -176,7 +199,7 @@ def license_report(
     last_word (their smallest and largest start, in words from 0, or null),
     base_labels, labels (those and the templates'; both distinct, sorted and joined
     by commas, empty if none) and score: 1 with a phrase, else the largest share of
-    a template that a line holds, 0 without any. A null text is empty. Every row
+    a template that a matching block holds, 0 without any. A null text is empty. Every row
     stands for itself, also where ids are equal or missing. Empty tables give no
     rows; other columns are ignored.
     """

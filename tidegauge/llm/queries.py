@@ -6,6 +6,7 @@ Each takes (spark, folder) and reads whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -184,13 +185,21 @@ _LINES_SQL = f"""
         FROM (SELECT *, sum(length(token) + 1) OVER (PARTITION BY doc_id, line_no
             ORDER BY token_no) - length(token) - 1 AS t_at FROM tokens)
         WHERE token <> ''),
+    marked AS (
+        SELECT *, ('0x' || md5(word)[:4])::INT AS mark FROM words),
+    counted AS (
+        SELECT *, (3 * lag(mark) OVER line + mark) % {line_dedup.CUT_NUMBERS} AS number
+        FROM marked WINDOW line AS (PARTITION BY doc_id, line_no ORDER BY no)),
+    ending AS (
+        SELECT *, coalesce(number < coalesce(min(number) OVER (line
+                ROWS BETWEEN {line_dedup.CUT_REACH} PRECEDING AND 1 PRECEDING), 99999)
+            AND number < coalesce(min(number) OVER (line
+                ROWS BETWEEN 1 FOLLOWING AND {line_dedup.CUT_REACH} FOLLOWING), 99999), false)
+            AS ends
+        FROM counted WINDOW line AS (PARTITION BY doc_id, line_no ORDER BY no)),
     starting AS (
-        SELECT *, coalesce(line_no <> lag(line_no) OVER here, true)
-            OR coalesce((3 * lag(digit, 2) OVER here + lag(digit) OVER here + 1)
-                % {line_dedup.CUT_DIVISOR} = 0 AND lag(line_no, 2) OVER here = line_no, false)
-                AS starts
-        FROM (SELECT *, strpos('0123456789abcdef', md5(word)[1]) - 1 AS digit FROM words)
-        WINDOW here AS (PARTITION BY doc_id ORDER BY no)),
+        SELECT *, coalesce(lag(ends) OVER line, true) AS starts
+        FROM ending WINDOW line AS (PARTITION BY doc_id, line_no ORDER BY no)),
     parts AS (
         SELECT *, sum(starts::INT) OVER (PARTITION BY doc_id ORDER BY no) AS part FROM starting),
     numbered AS (
@@ -259,7 +268,7 @@ _WORDS_SQL = (
 
 _LICENSES_SQL = f"""
     WITH read AS (
-        SELECT doc_id, text, {_WORDS_SQL.format("lower(coalesce(text, ''))")} AS words
+        SELECT doc_id, text, {_WORDS_SQL.format(f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')")} AS words
         FROM documents),
     phrases AS (
         SELECT string_split(words, ' ') AS phrase, label
@@ -276,16 +285,20 @@ _LICENSES_SQL = f"""
         SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
             list(DISTINCT label) AS base
         FROM runs JOIN phrases ON run[:len(phrase)] = phrase GROUP BY doc_id),
-    lines AS (
-        SELECT doc_id, {_WORDS_SQL.format("lower(line)")} AS words
-        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
-    held AS (
-        SELECT doc_id, label, len(list_intersect(template, list_distinct(words))) AS common,
-            len(template) AS size
-        FROM lines, templates),
+    wanted AS (
+        SELECT row_number() OVER () AS number, label, template, len(template) AS size
+        FROM templates),
+    places AS (
+        SELECT doc_id, place, word, number, label, size
+        FROM tokens JOIN (SELECT *, unnest(template) AS word FROM wanted) USING (word)),
+    blocks AS (
+        SELECT a.doc_id, a.number, a.label, a.size, count(DISTINCT b.word) AS common
+        FROM places a JOIN places b ON a.doc_id = b.doc_id AND a.number = b.number
+            AND b.place BETWEEN a.place AND a.place + 2 * a.size - 1
+        GROUP BY a.doc_id, a.number, a.label, a.size, a.place),
     matched AS (
         SELECT doc_id, max(common / size) AS best, list(DISTINCT label) AS more
-        FROM held WHERE common >= ceil({licenses.THRESHOLD} * size - 1e-9) GROUP BY doc_id)
+        FROM blocks WHERE common >= ceil({licenses.THRESHOLD} * size - 1e-9) GROUP BY doc_id)
     SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base,
         first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
         coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,

@@ -12,12 +12,14 @@ there, those that could still enter with all non-essential bounds on top are
 probed, largest bound first, and dropped as soon as the rest of the bounds does
 not suffice. Comparisons keep equal scores, so ties are exact.
 
-Vectors are packed into shards of a fixed number of rows and queries into blocks;
-a task takes one pair of these at a time, and the best k of all shards are merged.
+Vectors are packed into shards of a fixed number of rows and queries into full blocks.
+A shard is sent once to every group of blocks and sorted in front of them; a task holds
+one shard and one block at a time, and the best k of all shards are merged.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +32,8 @@ from tidegauge.plans.shared import stored
 
 SHARD_ROWS = 8192
 QUERY_ROWS = 1024
+#: Blocks of queries that one copy of a shard meets.
+GROUP_BLOCKS = 16
 _SEED_ROWS = 1024
 _PROBED_TOGETHER = 8
 #: Sums below this are exact in floating point too, which multiplies faster.
@@ -57,7 +61,7 @@ class Shard:
     def _products(self, rows: np.ndarray, dims: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Inner products of some rows with a query, over some dimensions."""
         if self.largest * int(np.abs(query).sum()) < _EXACT:
-            part = self.floats[rows] if len(dims) == len(query) else self.floats[np.ix_(rows, dims)]
+            part = self.floats[np.ix_(rows, dims)]
             return (part @ query[dims].astype(np.float64)).astype(np.int64)
         return self.weights[np.ix_(rows, dims)] @ query[dims]
 
@@ -68,7 +72,10 @@ class Shard:
             return self.keys[:0], np.zeros(0, np.int64)
         # The first rows are scored in full, which gives a score to beat.
         first = np.flatnonzero(others[:_SEED_ROWS])
-        scores = self._products(first, np.arange(len(query)), query)
+        if self.largest * int(np.abs(query).sum()) < _EXACT:
+            scores = (self.floats[first] @ query.astype(np.float64)).astype(np.int64)
+        else:
+            scores = self.weights[first] @ query
         if len(first) >= k:
             beat = int(np.partition(scores, len(scores) - k)[len(scores) - k])
         else:
@@ -196,43 +203,50 @@ def top_k(
     usable = usable.withColumn("dims", F.size("weights"))
     shards = stored(_numbered(_packed(usable.select("key", "dims", "weights"), SHARD_ROWS)))
     asked = usable.where("asked").dropDuplicates(["key", "weights"])
-    asked = _packed(asked.select("key", "dims", "weights"), QUERY_ROWS)
-    asked = asked.select("dims", F.col("keys").alias("q_keys"), F.col("weights").alias("q_weights"))
+    asked = stored(asked.select("key", "dims", "weights"))
+    blocks = max(1, math.ceil(asked.count() / QUERY_ROWS))
+    asked = stored(_numbered(_packed(asked.repartition(blocks), QUERY_ROWS)))
+    groups = max(1, math.ceil(asked.count() / GROUP_BLOCKS))
+    asked = asked.select(
+        "dims", "keys", "weights",
+        F.col("number").alias("block"),
+        F.pmod(F.xxhash64("number"), F.lit(groups)).alias("group"),
+    )
 
     # Every block of queries goes to every shard of its dimension: queries against all
-    # rows, in blocks. Pairs are spread evenly by the shard's number.
-    numbers = shards.select("dims", "number")
-    asked = asked.join(numbers, "dims")
-    parts = shuffle_partitions(spark)
-    pairs = (
-        shards.repartition(parts, "number")
-        .join(asked.drop("dims").repartition(parts, "number"), "number")
-        .select("dims", "keys", "weights", "q_keys", "q_weights")
-    )
+    # rows, in blocks. The shard comes first in each of its groups.
+    copies = shards.select(
+        "number", "dims", "keys", "weights",
+        F.lit(-1).cast("bigint").alias("block"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("group"),
+    )
+    asked = asked.join(shards.select("dims", "number"), "dims")
+    columns = ["number", "group", "block", "dims", "keys", "weights"]
+    met = copies.select(*columns).unionByName(asked.select(*columns))
+    met = met.repartition(shuffle_partitions(spark), "number", "group")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, shard = None, None
+        shard, own = None, None
         for batch in batches:
             for row in range(batch.num_rows):
-                dims, *cells = (c[row] for c in batch.columns)
-                dims = dims.as_py()
-                keys, weights, q_keys, q_weights = (c.as_buffer() for c in cells)
-                if last is None or not keys.equals(last):
-                    last = keys
-                    n = len(keys) // 8
-                    shard = Shard(
-                        np.frombuffer(keys, "<i8"), np.frombuffer(weights, "<i8").reshape(n, dims)
-                    )
+                number, group, block, dims = (batch.column(i)[row].as_py() for i in range(4))
+                keys, weights = (
+                    np.frombuffer(batch.column(i)[row].as_buffer(), "<i8") for i in (4, 5)
+                )
+                weights = weights.reshape(len(keys), dims)
+                if block < 0:
+                    shard, own = Shard(keys, weights), (number, group)
+                    continue
+                if own != (number, group):
+                    raise RuntimeError("a block of queries came without its shard")
                 found = []
-                own = np.frombuffer(q_keys, "<i8")
-                for key, query in zip(
-                    own.tolist(), np.frombuffer(q_weights, "<i8").reshape(len(own), dims), strict=True
-                ):
+                for key, query in zip(keys.tolist(), weights, strict=True):
                     ids, scores = shard.search(key, query, k)
                     found.append((np.full(len(ids), key), ids, scores))
-                columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vec_id", "score"])
+                cells = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays(cells, names=["query_id", "vec_id", "score"])
 
+    pairs = met.sortWithinPartitions("number", "group", "block")
     candidates = pairs.mapInArrow(search, "query_id long, vec_id long, score long").distinct()
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (
