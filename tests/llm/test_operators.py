@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -127,6 +128,34 @@ def test_top_k_of_large_shards():
         assert [(-s, i) for i, s in zip(ids.tolist(), scores.tolist(), strict=True)] == best
 
 
+@pytest.mark.parametrize("n_dims", range(1, 13))
+def test_top_k_of_few_dimensions(n_dims):
+    weights = np.random.default_rng(n_dims).integers(-900, 900, (3000, n_dims))
+    shard = topk.Shard(np.arange(3000), weights)
+    for key in range(0, 3000, 150):
+        ids, scores = shard.search(key, weights[key], 10)
+        every = (weights @ weights[key]).tolist()
+        best = sorted((-s, i) for i, s in enumerate(every) if i != key)[:10]
+        assert [(-s, i) for i, s in zip(ids.tolist(), scores.tolist(), strict=True)] == best
+
+
+def test_top_k_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 50)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 7)
+    monkeypatch.setattr(topk, "GROUP_BLOCKS", 2)
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(0, 0.3, 3 + i % 2).tolist()) for i in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
+    got = {}
+    for r in topk.top_k(frame, F.col("vec_id") % 4 == 0, k=3).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    weights = {i: np.floor(1024 * np.float32(v).astype(float)).astype(int) for i, v in rows}
+    assert len(got) == 100
+    for key, found in got.items():
+        every = [(-int(weights[key] @ w), i) for i, w in weights.items() if i != key and len(w) == len(weights[key])]
+        assert sorted(found) == [(n + 1, i, -s) for n, (s, i) in enumerate(sorted(every)[:3])]
+
+
 def test_top_k_without_rows(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(frame, F.col("vec_id") % 100 == 0).count() == 0
@@ -416,6 +445,51 @@ def test_line_dedup(spark):
     assert line_dedup.without_repeats(frame.where("false")).count() == 0
 
 
+def test_passages_inside_lines(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 9)))
+    own = lambda n: " ".join(word() for _ in range(n))
+    passages = [own(rng.randrange(55, 90)) for _ in range(40)]
+    rows, whole = [], {}
+    for i in range(200):
+        text = own(30)
+        if i % 2:
+            passage = passages[i // 2 % 40]
+            whole[i] = passage.split()
+            # Begins and ends inside lines; the first half of it may stand on a line of its own.
+            text += " " + passage + rng.choice([" ", "  "]) + own(20) + "\n" + own(9)
+        rows.append((i, text + "\n" + own(15)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r for r in line_dedup.without_repeats(frame).collect()}
+    missed = 0
+    for i, text in rows:
+        spans = got[i]["removed_spans"]
+        if i % 2 == 0 or i < 80:
+            assert got[i]["text"] == text and spans == []
+            continue
+        if not spans:  # too few cuts in it that do not depend on the text around it
+            missed += 1
+            continue
+        assert len(spans) == 1 and spans[0]["first_id"] % 80 == i % 80
+        cut = text[spans[0]["begin"] : spans[0]["end"]].split()
+        assert len(cut) == spans[0]["words"] >= line_dedup.RUN_WORDS
+        # Only words of the passage go, and all but a unit's words at either end.
+        assert " ".join(cut) in " ".join(whole[i])
+        assert len(cut) >= len(whole[i]) - 2 * 16
+        assert got[i]["text"].split() == [
+            *text[: spans[0]["begin"]].split(), *text[spans[0]["end"] :].split()
+        ]
+    assert missed <= 3
+
+
+def test_what_a_text_repeats_of_itself_stays(spark):
+    line = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, f"{line}\n{line}"), (2, "a " * 300), (3, "a " * 300 + "end")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(frame).collect()}
+    assert got[1] == rows[0][1] and got[2] == rows[1][1] and len(got[3].split()) < 40
+
+
 def test_line_dedup_where_ids_are_equal_or_missing(spark):
     a, b, c, d = (" ".join(f"{letter}{i}" for i in range(55)) for letter in "abcd")
     rows = [(1, a), (1, f"{b}\n{a}"), (None, f"{a}\n{c}"), (None, f"{d}\n{c}"), (None, None)]
@@ -462,6 +536,23 @@ def test_spans_are_the_best_labelling():
     ]
 
 
+def test_short_mixed_texts_get_the_best_labelling():
+    rng = np.random.default_rng(11)
+    counts = rng.integers(1, 9, 4000)
+    scores = -rng.exponential(8, (int(counts.sum()), 3))
+    got = language.labelled(scores, counts, 12.0)
+
+    def value(rows, labels):
+        return rows[np.arange(len(rows)), labels].sum() - 12 * np.count_nonzero(np.diff(labels))
+
+    end = np.cumsum(counts)
+    for a, b in zip((end - counts).tolist(), end.tolist(), strict=True):
+        best = value(scores[a:b], language.viterbi(scores[a:b], 12.0))
+        assert value(scores[a:b], got[a:b]) == pytest.approx(best)
+    mixed = np.array([[-10.0, 0, -30], [-10, -30, 0]])
+    assert language.labelled(mixed, np.array([2]), 12.0).tolist() == [1, 2]
+
+
 def test_language_odd_cases(spark, odd_documents, no_documents):
     model = language.learned_model(odd_documents)
     rows = language.languages(odd_documents, model).collect()
@@ -481,6 +572,26 @@ def test_language_odd_cases(spark, odd_documents, no_documents):
 # 10: licenses
 
 
+def test_wrapped_notices_are_found(spark):
+    notices = [(label, t) for t, label in licenses.TEMPLATES]
+    rows = [
+        (100 * width + i, "own code\n# " + "\n# ".join(textwrap.wrap(t, width)) + "\nmore")
+        for width in (24, 72, 80)
+        for i, (_, t) in enumerate(notices)
+    ]
+    # Words that are far apart make no block; the Kelvin sign is no k.
+    scattered = (" other" * 70).join(["", *notices[6][1].split()])
+    rows += [(9001, scattered), (9002, "all rights reserved wor\u212a"), (9003, "ALL\nRIGHTS\nreserved")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"].split(",") for r in licenses.license_report(frame).collect()}
+    for width in (24, 72, 80):
+        for i, (label, _) in enumerate(notices):
+            assert label in got[100 * width + i]
+    assert got[9001] == [""]
+    assert got[9002] == got[9003] == ["reserved"]
+    assert licenses.template_matches(frame.where("doc_id = 9001")).count() == 0
+
+
 def license_words(text):
     lower = re.sub("[A-Z]", lambda m: m[0].lower(), text)
     return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower) if w]
@@ -503,13 +614,14 @@ def test_licenses(request, name, spark):
                     places.append(i)
                     base.add(label)
         best = 0.0
-        for line in text.split("\n"):
-            for template, label in licenses.TEMPLATES:
-                tokens = set(template.split())
-                share = len(tokens & set(license_words(line))) / len(tokens)
-                if share >= licenses.THRESHOLD:
-                    more.add(label)
-                    best = max(best, share)
+        for template, label in licenses.TEMPLATES:
+            tokens = set(template.split())
+            for i, word in enumerate(words):
+                if word in tokens:
+                    share = len(tokens & set(words[i : i + 2 * len(tokens)])) / len(tokens)
+                    if share >= licenses.THRESHOLD:
+                        more.add(label)
+                        best = max(best, share)
         expected.append(
             (key, len(words), len(places), min(places, default=None), max(places, default=None),
              ",".join(sorted(base)), ",".join(sorted(base | more)), 1.0 if base else best)
@@ -530,6 +642,24 @@ def test_licenses_where_ids_are_equal_or_missing(spark):
 # The pipeline
 
 
+def test_pipeline_stages_on_empty_and_odd_tables(spark, documents, odd_documents):
+    import corpus_pipeline
+
+    names = documents.columns
+    odd = odd_documents.select(
+        "doc_id", "text", "lang", "source", F.col("score").cast("long").alias("n_chars")
+    )
+    for docs in (documents.where("false"), odd, odd.withColumn("key", F.lit("k"))):
+        some = docs.count() > 0
+        for _, stage in corpus_pipeline.STAGES:
+            after = stage(spark, docs, FOLDER)
+            rows = after.collect()
+            if stage is not corpus_pipeline.STAGES[-1][1]:
+                assert after.columns == docs.columns and names[0] in after.columns
+                docs = spark.createDataFrame(rows, after.schema)
+            assert some or rows == []
+
+
 def test_pipeline_equals_its_stages_in_plain_python(spark):
     import corpus_pipeline
 
