@@ -18,6 +18,7 @@ of DataFrame functions.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -65,7 +66,11 @@ TEMPLATES = (
 
 def words(text: Column) -> Column:
     """Words of a text in order: runs of letters, digits and anything beyond ASCII."""
-    lowered = F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase)
+    text = F.coalesce(text, F.lit(""))
+    # Only A-Z have lower forms here; in ASCII texts these are all, which is quicker.
+    lowered = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(
+        F.translate(text, ascii_uppercase, ascii_lowercase)
+    )
     found = F.split(lowered, SEPARATORS, -1)
     return F.array_remove(found, "")
 
@@ -89,26 +94,40 @@ def _starts(tokens: str, phrase: str) -> Column:
     return F.when(enough, places).otherwise(F.array().cast("array<int>"))
 
 
+def _each(value: Column, function: Callable[[Column], Column]) -> Column:
+    """``function`` of a value that is worked out once, however often it is used.
+
+    As a generated column its own filters stay above it and do not repeat its work.
+    """
+    return F.explode(F.transform(F.array(value), function))
+
+
 def _sets(documents: DataFrame, vocabulary: Column) -> DataFrame:
     """Texts as their words, and as the words of the vocabulary they hold, in its order."""
-    tokens = documents.select("doc_id", "mark", words(F.col("text")).alias("words"))
-    return tokens.withColumn("held", F.array_intersect(vocabulary, F.col("words")))
 
+    def both(own: Column) -> Column:
+        return F.struct(own.alias("words"), F.array_intersect(vocabulary, own).alias("held"))
+
+    found = documents.select("doc_id", "mark", _each(words(F.col("text")), both).alias("of"))
+    return found.select("doc_id", "mark", "of.words", "of.held")
 
-def _best_block() -> tuple[Column, Column]:
-    """The places ``own`` of a template's words, and the most of these words in a block."""
+
+def _most_in_a_block() -> Column:
+    """The most words of the template ``tokens`` in a block of twice its ``size`` in ``words``."""
     placed = F.transform("words", lambda w, i: F.struct(i.alias("i"), w.alias("w")))
     own = F.filter(placed, lambda p: F.array_contains(F.col("tokens"), p["w"]))
     length = F.col("size") * 2
 
-    def held(first: Column, nth: Column) -> Column:
-        # A block holds no more places of these words than it has words.
-        near = F.slice("own", nth + 1, length)
-        inside = F.filter(near, lambda p: p["i"] < first["i"] + length)
-        return F.size(F.array_distinct(F.transform(inside, lambda p: p["w"])))
+    def most(own: Column) -> Column:
+        def held(first: Column, nth: Column) -> Column:
+            # A block holds no more places of these words than it has words.
+            near = F.slice(own, nth + 1, length)
+            inside = F.filter(near, lambda p: p["i"] < first["i"] + length)
+            return F.size(F.array_distinct(F.transform(inside, lambda p: p["w"])))
+
+        return F.array_max(F.transform(own, held))
 
-    most = F.array_max(F.transform("own", held))
-    return own, most
+    return _each(own, most)
 
 
 def _marked(documents: DataFrame, key: str, text: str) -> DataFrame:
@@ -177,10 +196,8 @@ def template_matches(
     pairs = candidates.withColumn("common", common).where(
         (F.size("common") >= F.col("need")) & (F.get("common", F.lit(0)) == F.col("token"))
     )
-    places, most = _best_block()
     return (
-        pairs.withColumn("own", places)
-        .withColumn("most", most)
+        pairs.select("doc_id", "mark", "label", "size", "need", _most_in_a_block().alias("most"))
         .where(F.col("most") >= F.col("need"))
         .select("doc_id", "mark", "label", (F.col("most") / F.col("size")).alias("containment"))
     )
