@@ -11,6 +11,7 @@ from tidegauge.functions.udfs import register_doubling, select_with
 from tidegauge.operators import transforms
 from tidegauge.operators.alerts import alert_text, decoded_transactions, threshold_alerts
 from tidegauge.operators.gaps import gap_filter
+from tidegauge.operators.processes import process_windows
 from tidegauge.operators.rolling import delayed_running_sum, idle_reset_sum, running_sum
 from tidegauge.operators.throttle import throttle
 from tidegauge.operators.windows import (
@@ -29,7 +30,7 @@ from tidegauge.sinks.writers import (
     report_messages,
 )
 from tidegauge.sources.generated import HIGHEST, LOWEST, as_messages, synthetic_measurements
-from tidegauge.sources.measurements import decoded_measurements
+from tidegauge.sources.measurements import decoded_measurements, decoded_sensor_records
 from tidegauge.sources.tables import table
 
 # The tables have no amount above 1000, so alerts are raised above 100 here.
@@ -442,6 +443,86 @@ def json_keyed_sum(spark, folder):
     return running_sum(fields, ["country"], ["id"], "tel", "total").select("id", "country", "total")
 
 
+@query(
+    """
+    SELECT epoch_us(ts) // 1000 AS "timestamp", value,
+        date_trunc('millisecond', ts) AS event_time,
+        ts + INTERVAL 250 MILLISECOND AS ts,
+        (epoch_us(ts) // 1000000)::BIGINT AS second
+    FROM events WHERE event_type <> 'error'
+    """
+)
+def sensor_records(spark, folder):
+    """Sensor messages with both times: the body's, and that of a transport 250 ms later.
+
+    The messages of 'error' rows are no JSON and are skipped.
+    """
+    events = table(spark, folder, "events")
+    at = F.col("ts").cast("timestamp")
+    body = F.to_json(F.struct(F.unix_millis(at).alias("timestamp"), "value"))
+    text = F.when(F.col("event_type") == "error", F.lit("{")).otherwise(body)
+    later = at + F.expr("INTERVAL 250 MILLISECOND")
+    records = decoded_sensor_records(events.select(text.alias("value"), later.alias("timestamp")))
+    return records.select(
+        "timestamp",
+        "value",
+        F.col("event_time").cast("timestamp_ntz").alias("event_time"),
+        F.col("ts").cast("timestamp_ntz").alias("ts"),
+        F.col("event_time").cast("bigint").alias("second"),
+    )
+
+
+@query(
+    """
+    SELECT user_id, time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+        time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+        count(*) AS elements, round(max(value) - min(value), 2) AS spread,
+        arg_min(event_type, (epoch_us(ts), event_id)) AS first_type
+    FROM events GROUP BY ALL
+    """
+)
+def process_windows_1d(spark, folder):
+    """A function over the rows of each user's day: their number, spread and first type."""
+    fields = T.StructType(
+        [
+            T.StructField("elements", T.LongType()),
+            T.StructField("low", T.DoubleType()),
+            T.StructField("high", T.DoubleType()),
+            T.StructField("first_at", T.LongType()),
+            T.StructField("first_id", T.LongType()),
+            T.StructField("first_type", T.StringType()),
+        ]
+    )
+
+    def partial(rows):
+        values = rows.column("value").to_pylist()
+        first = min(zip(*(rows.column(c).to_pylist() for c in ("at", "event_id", "event_type")), strict=True))
+        return {
+            "elements": rows.num_rows, "low": min(values), "high": max(values),
+            "first_at": first[0], "first_id": first[1], "first_type": first[2],
+        }
+
+    def merge(parts):
+        parts = list(parts)
+        first = min(parts, key=lambda p: (p["first_at"], p["first_id"]))
+        return {
+            "elements": sum(p["elements"] for p in parts),
+            "low": min(p["low"] for p in parts),
+            "high": max(p["high"] for p in parts),
+            **{n: first[n] for n in ("first_at", "first_id", "first_type")},
+        }
+
+    events = table(spark, folder, "events").withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
+    columns = ["value", "at", "event_id", "event_type"]
+    found = process_windows(
+        events, "user_id", "ts", timedelta(days=1), columns, partial, merge, fields
+    )
+    spread = F.round(F.col("high") - F.col("low"), 2)
+    return found.select(
+        "user_id", "window_start", "window_end", "elements", spread.alias("spread"), "first_type"
+    )
+
+
 @query(
     """
     SELECT user_id::VARCHAR AS channel_id,

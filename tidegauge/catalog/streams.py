@@ -9,30 +9,41 @@ from pyspark.sql import types as T
 
 from tidegauge.catalog import batch
 from tidegauge.catalog.registry import query
-from tidegauge.functions.expressions import epoch_micros
+from tidegauge.functions.expressions import as_schema, epoch_micros, micros
 from tidegauge.operators.alerts import decoded_transactions, threshold_alerts
+from tidegauge.operators.transforms import nonzero
+from tidegauge.operators.windows import REPORT_WINDOW, tumbling_count, tumbling_report
 from tidegauge.plans.shared import new_folder
 from tidegauge.schemas import REPORT
 from tidegauge.sinks.writers import alert_messages, json_messages, read_back, report_messages
 from tidegauge.sources.measurements import decoded_measurements, encoded_measurements
 from tidegauge.sources.tables import table, table_stream
 from tidegauge.streaming import carried, jobs
-from tidegauge.streaming.drain import END_OF_TIME, drained, run_to_the_end
+from tidegauge.streaming.drain import END_OF_TIME, drained, drained_to_the_end, run_to_the_end
+from tidegauge.streaming.fanout import fan_out, sink_rows
+from tidegauge.streaming.views import REPORT_TEXT, sql_stream
 
 
-def disorder(spark, folder, name="events", time="ts"):
+def times(spark, folder, name="events", time="ts"):
+    """The first and the last time of a table in microseconds, None for an empty one."""
+    at = epoch_micros(time)
+    first, last = table(spark, folder, name).agg(F.min(at), F.max(at)).first()
+    return first, last
+
+
+def disorder(first, last):
     """How late a row of a table may come, whatever the order of its files.
 
     That is the span of all times, and a second more, as a row right at the watermark
     is late.  Times so far apart that the last rows would wait for ever are an error.
     """
-    at = epoch_micros(time)
-    first, last = table(spark, folder, name).agg(F.min(at), F.max(at)).first()
     if first is None:
         return timedelta(seconds=1)
     lateness = timedelta(microseconds=last - first) + timedelta(seconds=1)
-    if timedelta(microseconds=last) + lateness >= END_OF_TIME - datetime(1970, 1, 1):
-        raise ValueError(f"the times of {name} are too far apart to be put in order as a stream")
+    # Beyond the lateness a row waits for the end of its slot, and windows for theirs.
+    waits = timedelta(microseconds=last) + 1.25 * lateness + timedelta(days=1)
+    if waits >= END_OF_TIME - datetime(1970, 1, 1):
+        raise ValueError("the times are too far apart to be put in order as a stream")
     return lateness
 
 
@@ -42,8 +53,23 @@ def _measurements(spark, folder, channel):
     return decoded_measurements(encoded_measurements(events, channel, "value", "ts"))
 
 
-@query(
-    """
+def _waited(spark, stream, schema, start, time="ts"):
+    """The rows of ``start(stream, folder, checkpoint)``, run to the end."""
+    out, progress = new_folder(spark, "carried"), new_folder(spark, "progress")
+    run_to_the_end(stream, time, lambda whole: start(whole, out, progress))
+    return carried.results(spark, out, progress, schema)
+
+
+def closed_windows(spark, stream, time, size, windowed, schema, lateness):
+    """All windows of a table's stream, whatever the order and number of its files."""
+
+    def start(rows, out, progress):
+        return carried.windows_in_batches(rows, time, size, windowed, out, progress, lateness)
+
+    return _waited(spark, stream, schema, start, time)
+
+
+_CLOSED_REPORTS_SQL = """
     WITH measured AS (
         SELECT event_type AS channel_id, value, epoch_us(ts) // 1000 AS ms FROM events),
     reported AS (
@@ -62,11 +88,76 @@ def _measurements(spark, folder, channel):
     SELECT * FROM reported
     WHERE window_end <= (SELECT make_timestamp(max(ms) * 1000) FROM measured) - INTERVAL 30 SECOND
     """
-)
+
+
+@query(_CLOSED_REPORTS_SQL)
 def stream_tumble_report(spark, folder):
     """JSON in, five-minute reports out as JSON, read back to columns."""
-    report = jobs.report_stream(_measurements(spark, folder, "event_type"))
-    return read_back(drained(report_messages(report), kind="text"), REPORT)
+    first, last = times(spark, folder)
+    stream = _measurements(spark, folder, "event_type")
+    stream = stream.select("channel_id", "event_time", "channel_value")
+
+    def windowed(rows):
+        return as_schema(tumbling_report(rows, "channel_id", "event_time", "channel_value"), REPORT)
+
+    report = closed_windows(
+        spark, stream, "event_time", REPORT_WINDOW, windowed, REPORT, disorder(first, last)
+    )
+    # As at the watermark that the whole table leaves behind.
+    behind = jobs.REPORT_DELAY
+    passed = F.timestamp_millis(F.lit((last or 0) // 1000)).cast("timestamp_ntz")
+    report = report.where(F.col("window_end") <= passed - behind)
+    return read_back(report_messages(report), REPORT)
+
+
+@query(_CLOSED_REPORTS_SQL)
+def stream_report_sql(spark, folder):
+    """The report as SQL text over a view of the stream; open windows stay in the state."""
+    first, last = times(spark, folder)
+    lateness = disorder(first, last)
+    stream = _measurements(spark, folder, "event_type")
+    stream = stream.select("channel_id", "event_time", "channel_value")
+
+    def rule(rows):
+        timed = jobs.watermarked(rows, "event_time", lateness)
+        return sql_stream(spark, REPORT_TEXT, {"measurements": timed}, REPORT)
+
+    report = drained_to_the_end(stream, "event_time", rule)
+    passed = F.timestamp_millis(F.lit((last or 0) // 1000)).cast("timestamp_ntz")
+    return report.where(F.col("window_end") <= passed - jobs.REPORT_DELAY)
+
+
+@query(
+    f"""
+    SELECT 'alerts' AS sink, fraud_result AS "value" FROM ({batch.ALERT_SQL})
+    UNION ALL
+    SELECT 'cleaned', event_type || ',' || event_id || ',' || (epoch_us(ts) // 1000)
+    FROM events WHERE value <> 0
+    """
+)
+def stream_two_sinks(spark, folder):
+    """One reading of the stream, alerts to one sink and cleaned measurements to another."""
+    stream = table_stream(spark, folder, "events").select("event_id", "event_type", "ts", "value")
+
+    def alerts(rows):
+        found = threshold_alerts(rows, "event_id", "value", batch.FIXTURE_THRESHOLD)
+        return found.select(F.col("fraud_result").alias("value"))
+
+    def cleaned(rows):
+        at = F.unix_millis(F.col("ts").cast("timestamp"))
+        return nonzero(rows, "value").select(
+            F.concat_ws(",", "event_type", "event_id", at).alias("value")
+        )
+
+    out, progress = new_folder(spark, "sinks"), new_folder(spark, "progress")
+    sinks = {"alerts": alerts, "cleaned": cleaned}
+    fan_out(stream, sinks, out, progress).awaitTermination()
+    kind = T.StructType([T.StructField("value", T.StringType())])
+    parts = [
+        sink_rows(spark, out, name, progress, kind).select(F.lit(name).alias("sink"), "value")
+        for name in sinks
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 @query(
@@ -81,8 +172,18 @@ def stream_tumble_report(spark, folder):
     """
 )
 def stream_tumble_count(spark, folder):
-    events = table_stream(spark, folder, "events")
-    return drained(jobs.count_stream(events, "user_id", "ts", timedelta(hours=1)))
+    first, last = times(spark, folder)
+    stream, size = table_stream(spark, folder, "events").select("user_id", "ts"), timedelta(hours=1)
+    counts = closed_windows(
+        spark,
+        stream,
+        "ts",
+        size,
+        lambda rows: tumbling_count(rows, "user_id", "ts", size),
+        tumbling_count(table(spark, folder, "events"), "user_id", "ts", size).schema,
+        disorder(first, last),
+    )
+    return counts.where(F.col("end") <= (last or 0) // 1000)
 
 
 # Rules that follow a channel: all rows wait until the table's end, so they wait in a table
@@ -93,26 +194,19 @@ def _event_stream(spark, folder, key, *columns):
     return table_stream(spark, folder, "events").select("event_id", key, "ts", *columns)
 
 
-def _carried_rows(spark, stream, schema, start):
-    """The rows of ``start(stream, folder, checkpoint)``, run to the end."""
-    out, progress = new_folder(spark, "carried"), new_folder(spark, "progress")
-    run_to_the_end(stream, "ts", lambda whole: start(whole, out, progress))
-    return carried.results(spark, out, progress, schema)
-
-
 def followed_throttle(spark, folder, key):
-    stream, lateness = _event_stream(spark, folder, key, "value"), disorder(spark, folder)
+    stream, lateness = _event_stream(spark, folder, key, "value"), disorder(*times(spark, folder))
 
     def start(rows, out, progress):
         return carried.throttle_in_batches(
             rows, [key], "ts", ["event_id"], out, progress, timedelta(hours=6), lateness
         )
 
-    return _carried_rows(spark, stream, stream.schema, start)
+    return _waited(spark, stream, stream.schema, start)
 
 
 def followed_gap(spark, folder, key):
-    stream, lateness = _event_stream(spark, folder, key), disorder(spark, folder)
+    stream, lateness = _event_stream(spark, folder, key), disorder(*times(spark, folder))
     before = T.StructField("last_recorded_timestamp", stream.schema["ts"].dataType)
 
     def start(rows, out, progress):
@@ -120,11 +214,11 @@ def followed_gap(spark, folder, key):
             rows, [key], "ts", ["event_id"], out, progress, lateness=lateness
         )
 
-    return _carried_rows(spark, stream, T.StructType([*stream.schema, before]), start)
+    return _waited(spark, stream, T.StructType([*stream.schema, before]), start)
 
 
 def followed_sum(spark, folder, key):
-    stream, lateness = _event_stream(spark, folder, key, "value"), disorder(spark, folder)
+    stream, lateness = _event_stream(spark, folder, key, "value"), disorder(*times(spark, folder))
     total = T.StructField("total", T.DoubleType())
 
     def start(rows, out, progress):
@@ -132,7 +226,7 @@ def followed_sum(spark, folder, key):
             rows, [key], "ts", ["event_id"], "value", "total", out, progress, lateness
         )
 
-    summed = _carried_rows(spark, stream, T.StructType([*stream.schema, total]), start)
+    summed = _waited(spark, stream, T.StructType([*stream.schema, total]), start)
     return summed.select("event_id", key, F.round("total", 2).alias("total"))
 
 
@@ -154,14 +248,30 @@ def stream_rolling_sum(spark, folder):
 @query(
     """
     SELECT DISTINCT user_id, epoch_us(ts) // 1000 + 2000 AS fired_at,
-        round(sum(value) OVER (PARTITION BY user_id), 2) AS total
+        round(sum(value) OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000
+            RANGE BETWEEN UNBOUNDED PRECEDING AND 2000 FOLLOWING), 2) AS total
     FROM events
     QUALIFY fired_at <= (SELECT max(epoch_us(ts) // 1000) FROM events) - 2000
     """
 )
 def stream_timer_sum(spark, folder):
-    events = table_stream(spark, folder, "events")
-    fired = drained(jobs.timed_sum_stream(events, "user_id", "ts", "value"))
+    """Timers two seconds behind every row, each with the sum at its time."""
+    first, last = times(spark, folder)
+    stream = table_stream(spark, folder, "events").select("user_id", "ts", "value")
+    fields = [
+        stream.schema["user_id"],
+        T.StructField("fired_at", T.LongType()),
+        T.StructField("total", T.DoubleType()),
+    ]
+
+    def start(rows, out, progress):
+        return carried.timed_sum_in_batches(
+            rows, "user_id", "ts", "value", out, progress, lateness=disorder(first, last)
+        )
+
+    fired = _waited(spark, stream, T.StructType(fields), start)
+    behind = micros(jobs.TIMER_LATENESS) // 1000
+    fired = fired.where(F.col("fired_at") <= (last or 0) // 1000 - behind)
     return fired.withColumn("total", F.round("total", 2))
 
 

@@ -48,7 +48,28 @@ def delayed_running_sum(
 ) -> DataFrame:
     """Every row sets a timer ``delay`` after its time; the result is its key's
     total over all rows no later than that timer."""
-    ahead = micros(delay)
+    own, names = runs.plain(frame)
+    summed = _delayed_running_sum(
+        own,
+        [names[k] for k in keys],
+        names[time],
+        [names[t] for t in tie],
+        names[value],
+        "out",
+        micros(delay),
+    )
+    return runs.named(summed, names, out)
+
+
+def _delayed_running_sum(
+    frame: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    tie: Sequence[str],
+    value: str,
+    out: str,
+    ahead: int,
+) -> DataFrame:
     timed = frame.withColumn("_at", epoch_micros(time))
     reach = Window.partitionBy(*keys).orderBy("_at").rangeBetween(Window.unboundedPreceding, ahead)
     # In runs, the timers join the rows' own time line: a row adds its value at its
@@ -89,7 +110,28 @@ def idle_reset_sum(
     idle: timedelta,
 ) -> DataFrame:
     """Running sum that starts again after a pause longer than ``idle``."""
-    limit = micros(idle)
+    own, names = runs.plain(frame)
+    summed = _idle_reset_sum(
+        own,
+        [names[k] for k in keys],
+        names[time],
+        [names[t] for t in tie],
+        names[value],
+        "out",
+        micros(idle),
+    )
+    return runs.named(summed, names, out)
+
+
+def _idle_reset_sum(
+    frame: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    tie: Sequence[str],
+    value: str,
+    out: str,
+    limit: int,
+) -> DataFrame:
     timed = frame.withColumn("_at", epoch_micros(time))
     order = ["_at", *tie]
     along = Window.partitionBy(*keys).orderBy(*order)

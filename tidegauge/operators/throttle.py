@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.expressions import epoch_micros, micros
-from tidegauge.plans import chains
+from tidegauge.plans import chains, runs
 from tidegauge.plans.scans import Batches
 from tidegauge.plans.skew import by_weight
 
@@ -38,7 +38,10 @@ def throttle(
     distance = micros(gap)
     if distance <= 0:
         raise ValueError("gap must be positive")
-    timed = frame.where(F.col(time).isNotNull()).withColumn(chains.AT, epoch_micros(time))
+    # Under plain names, so that no column of the table is taken for a helper.
+    own, names = runs.plain(frame)
+    keys, time, tie = [names[k] for k in keys], names[time], [names[t] for t in tie]
+    timed = own.where(F.col(time).isNotNull()).withColumn(chains.AT, epoch_micros(time))
     order = [chains.AT, *tie]
 
     def keep(batches: Batches) -> Batches:
@@ -54,4 +57,4 @@ def throttle(
     def split(rows: DataFrame, total: int) -> DataFrame:
         return chains.throttled(rows, keys, order, distance, total)
 
-    return by_weight(timed, keys, whole, split).select(*frame.columns)
+    return by_weight(timed, keys, whole, split).select(*own.columns).toDF(*frame.columns)

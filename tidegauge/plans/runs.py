@@ -151,15 +151,22 @@ def _running_sum(
     )
 
 
-def _plain(frame: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+class PlainNames(dict):
+    """Where the names of a table went, whatever their case."""
+
+    def __missing__(self, name: str) -> str:
+        return next(p for n, p in self.items() if n.lower() == name.lower())
+
+
+def plain(frame: DataFrame) -> tuple[DataFrame, PlainNames]:
     """``frame`` under names that no helper column has, and where each name went."""
-    plain = {name: f"c{i}" for i, name in enumerate(frame.columns)}
-    return frame.toDF(*plain.values()), plain
+    names = PlainNames((name, f"c{i}") for i, name in enumerate(frame.columns))
+    return frame.toDF(*names.values()), names
 
 
-def _named(found: DataFrame, plain: dict[str, str], out: str) -> DataFrame:
+def named(found: DataFrame, names: PlainNames, out: str) -> DataFrame:
     """The names again; ``out`` comes last and replaces a column of its name."""
-    kept = [F.col(p).alias(name) for name, p in plain.items() if name != out]
+    kept = [F.col(p).alias(name) for name, p in names.items() if name.lower() != out.lower()]
     return found.select(*kept, F.col("out").alias(out))
 
 
@@ -167,11 +174,11 @@ def previous_value(
     frame: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, out: str, total: int
 ) -> DataFrame:
     """lag(column) per key over split runs; with no keys, over the whole table."""
-    own, plain = _plain(frame)
+    own, names = plain(frame)
     found = _previous_value(
-        own, [plain[k] for k in keys], [plain[o] for o in order], plain[column], "out", total
+        own, [names[k] for k in keys], [names[o] for o in order], names[column], "out", total
     )
-    return _named(found, plain, out)
+    return named(found, names, out)
 
 
 def running_sum(
@@ -189,15 +196,15 @@ def running_sum(
     With ``idle`` the sum restarts where ``time`` is more than ``idle`` after
     the row before.  The type is that of SUM.
     """
-    own, plain = _plain(frame)
+    own, names = plain(frame)
     summed = _running_sum(
         own,
-        [plain[k] for k in keys],
-        [plain[o] for o in order],
-        plain[value],
+        [names[k] for k in keys],
+        [names[o] for o in order],
+        names[value],
         "out",
         total,
-        plain[time] if time else None,
+        names[time] if time else None,
         idle,
     )
-    return _named(summed, plain, out)
+    return named(summed, names, out)

@@ -21,6 +21,14 @@ MEASUREMENT = T.StructType(
     ]
 )
 
+# JSON body of a sensor record; ``timestamp`` is epoch milliseconds.
+SENSOR_JSON = T.StructType(
+    [
+        T.StructField("timestamp", T.LongType()),
+        T.StructField("value", T.DoubleType()),
+    ]
+)
+
 # One report row per channel and window.
 REPORT = T.StructType(
     [

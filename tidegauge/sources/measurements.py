@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.expressions import instant
-from tidegauge.schemas import MEASUREMENT, MEASUREMENT_JSON
+from tidegauge.schemas import MEASUREMENT, MEASUREMENT_JSON, SENSOR_JSON
 
 
 def decoded_measurements(
@@ -26,6 +26,21 @@ def decoded_measurements(
     return measured.where(F.col("event_time").isNotNull()).select(*MEASUREMENT.fieldNames())
 
 
+def decoded_sensor_records(
+    raw: DataFrame, value: str = "value", transport: str = "timestamp"
+) -> DataFrame:
+    """Decode (value, transport time) messages to sensor records, on tables and streams.
+
+    Gives ``timestamp`` and ``value`` of the body, the event time and the transport's own
+    time ``ts``.  A missing field, or one of the wrong type, is NULL; lines that are not JSON
+    and records without a timestamp are skipped.
+    """
+    body = F.from_json(F.col(value).cast("string"), SENSOR_JSON)
+    decoded = raw.select(body.alias("body"), F.col(transport).cast("timestamp").alias("ts"))
+    records = decoded.select("body.*", instant("body.timestamp").alias("event_time"), "ts")
+    return records.where(F.col("event_time").isNotNull())
+
+
 def encoded_measurements(frame: DataFrame, channel: str, value: str, time: str) -> DataFrame:
     """The reverse: measurement columns to (value text, transport time) messages."""
     at = F.col(time).cast("timestamp")
