@@ -11,7 +11,7 @@ from tidegauge.schemas import CLEANED, MEASUREMENT, REPORT
 from tidegauge.sinks import writers
 from tidegauge.sources import topics
 from tidegauge.sources.generated import as_messages, measurement_stream, measurement_table
-from tidegauge.sources.measurements import decoded_measurements
+from tidegauge.sources.measurements import decoded_measurements, decoded_sensor_records
 from tidegauge.sources.text import message_files
 
 
@@ -40,6 +40,20 @@ def test_decoding_is_tolerant(spark):
     ]
 
 
+def test_sensor_records_keep_both_times(spark):
+    lines = ['{"timestamp": 1700000000001, "value": 2}', '{"timestamp": 5, "value": "x"}',
+             '{"value": 3}', "{", "", None]
+    raw = spark.createDataFrame([(x,) for x in lines], "value string")
+    raw = raw.withColumn("timestamp", F.timestamp_millis(F.lit(1_800_000_000_000)))
+    found = decoded_sensor_records(raw)
+    assert found.columns == ["timestamp", "value", "event_time", "ts"]
+    times = found.select("timestamp", "value", F.unix_millis("event_time"), F.unix_millis("ts"))
+    assert sorted(map(tuple, times.collect())) == [
+        (5, None, 5, 1_800_000_000_000),
+        (1700000000001, 2.0, 1700000000001, 1_800_000_000_000),
+    ]
+
+
 def test_transport_time_of_files(spark, tmp_path):
     (tmp_path / "a.txt").write_text('{"channel_id": 1, "channel_value": 2, "timestamp": 0}\n')
     found = decoded_measurements(message_files(spark, str(tmp_path))).first()

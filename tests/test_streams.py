@@ -3,11 +3,13 @@
 import json
 import os
 import time
+from collections import Counter
 from datetime import datetime, timedelta
 from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oracle import connected, oracle_rows, spark_rows
 from tidegauge.catalog import ORACLES, QUERIES, split, streams
@@ -16,12 +18,14 @@ from tidegauge.operators.gaps import gap_filter
 from tidegauge.operators.rolling import running_sum
 from tidegauge.operators.throttle import throttle
 from tidegauge.operators.windows import tumbling_report
-from tidegauge.sinks.writers import stream_writer, to_files, to_table
+from tidegauge.sinks.writers import stream_writer, to_console, to_files, to_table
 from tidegauge.sources.measurements import decoded_measurements
 from tidegauge.sources.tables import table_stream
 from tidegauge.sources.text import message_file_stream, message_files
 from tidegauge.streaming import carried, jobs
 from tidegauge.streaming.drain import drained, drained_to_the_end, run_to_the_end
+from tidegauge.streaming.fanout import fan_out, sink_rows
+from tidegauge.streaming.views import sql_stream
 
 BASE = 1_700_000_100_000  # 2023-11-14 22:15:00 UTC
 
@@ -133,9 +137,8 @@ def test_two_jobs_on_one_source(spark, tmp_path):
 
 
 def test_ascending_counts_drop_late_rows(spark, tmp_path):
-    early = [("hi", t) for t in [1, 2, 3, 4, 5, 8, 9, 15]]
-    early += [("test", 22), ("test", 23), ("data", 24), ("data", 25), ("data", 30), ("data", 50)]
-    late = [("test", t) for t in range(1, 6)]
+    early = [("x", t) for t in (0, 4, 5, 9, 10, 10, 31)] + [("y", 18), ("z", 44)]
+    late = [("y", t) for t in (3, 3, 7)]
     # A row is late against the watermark of the micro-batch before its own.
     files = {1: early, 2: [("end", 60)], 3: late, 4: [("end", 100)]}
     lines = {n: [json.dumps({"k": k, "t": t}) for k, t in rows] for n, rows in files.items()}
@@ -143,10 +146,7 @@ def test_ascending_counts_drop_late_rows(spark, tmp_path):
     stream = spark.readStream.schema("k string, t bigint").option("maxFilesPerTrigger", 1).json(path)
     counted = drained(jobs.count_stream(stream.withColumn("at", instant("t")), "k", "at"))
     found = {(r.k, r.start): r["count"] for r in counted.collect() if r.k != "end"}
-    assert found == {
-        ("hi", 0): 4, ("hi", 5): 3, ("hi", 15): 1, ("test", 20): 2,
-        ("data", 20): 1, ("data", 25): 1, ("data", 30): 1, ("data", 50): 1,
-    }
+    assert found == Counter((k, t // 5 * 5) for k, t in early)
 
 
 def shuffled(rows):
@@ -287,22 +287,158 @@ def test_running_sum_keeps_the_type_and_is_exact(spark, tmp_path, kind):
 
 
 def test_timers_report_the_sum(spark, tmp_path):
-    rows = [
-        (1000, "Alice", 110.1), (4000, "Bob", 30.2), (3000, "Alice", 20.0), (2000, "Bob", 53.1),
-        (5000, "Alice", 13.1), (3000, "Bob", 3.1), (7000, "Bob", 16.1), (10000, "Alice", 20.1),
-    ]
+    rows = [(1000, "n", 4.5), (6000, "n", 1.0), (4000, "s", 0.25), (3000, "n", 2.0), (9000, "s", 8.0)]
     lines = [json.dumps({"ms": ms, "name": n, "amount": a}) for ms, n, a in rows]
     end = [json.dumps({"ms": 60_000, "name": "end", "amount": 0.0})]
     path = write_files(tmp_path / "in", {1: lines, 2: end})
     stream = spark.readStream.schema("ms bigint, name string, amount double")
     stream = stream.option("maxFilesPerTrigger", 1).json(path).withColumn("at", instant("ms"))
     fired = drained(jobs.timed_sum_stream(stream, "name", "at", "amount")).collect()
-    found = sorted((r.name, r.fired_at, round(r.total, 1)) for r in fired)
-    # The watermark of the first file is 8000: Alice's last timer waits for the second.
-    assert found == [
-        ("Alice", 3000, 163.3), ("Alice", 5000, 163.3), ("Alice", 7000, 163.3), ("Alice", 12000, 163.3),
-        ("Bob", 4000, 102.5), ("Bob", 5000, 102.5), ("Bob", 6000, 102.5), ("Bob", 9000, 102.5),
-    ]
+    found = sorted((r.name, r.fired_at, r.total) for r in fired)
+    # All rows of a micro-batch are in the sum before its timers fire.
+    assert found == sorted((n, ms + 2000, {"n": 7.5, "s": 8.25}[n]) for ms, n, _ in rows)
+
+
+@pytest.fixture(params=[1, 2, 1000])
+def shuffled_folder(request, spark, events, tmp_path, monkeypatch):
+    """The events in four files in no order of time, so many files to a micro-batch."""
+    for module in (streams, split):
+        own = partial(table_stream, files_per_batch=request.param)
+        monkeypatch.setattr(module, "table_stream", own, raising=False)
+    mixed = events.orderBy(F.hash("event_id")).repartition(4, F.hash("event_id"))
+    mixed.write.parquet(f"{tmp_path}/tables/events.parquet")
+    return f"{tmp_path}/tables"
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["stream_tumble_report", "stream_tumble_count", "stream_timer_sum", "stream_report_sql",
+     "stream_two_sinks", "stream_throttle", "stream_lag_gap", "stream_rolling_sum"],
+)
+def test_queries_do_not_depend_on_files_and_batches(spark, shuffled_folder, name):
+    whole = connected("/root/testdata/sf0.001")
+    assert spark_rows(QUERIES[name](spark, shuffled_folder)) == oracle_rows(whole, ORACLES[name])
+
+
+def test_waiting_rows_are_written_once(spark, events, tmp_path):
+    """Twenty micro-batches, in and out of order: as much is written as comes in."""
+    place = tmp_path / "events.parquet"
+    for n in range(20):
+        part = events.where(F.pmod(F.hash("event_id"), F.lit(20)) == n).coalesce(1)
+        part.write.mode("append").parquet(str(place))
+    stream = table_stream(spark, str(tmp_path), "events", 1).select("event_id", "event_type", "ts", "value")
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    run_to_the_end(
+        stream,
+        "ts",
+        lambda s: carried.running_sum_in_batches(
+            s, ["event_type"], "ts", ["event_id"], "value", "total", out, progress, timedelta(days=40)
+        ),
+    )
+    folders = sorted(p.name for p in (tmp_path / "out" / "waiting").iterdir())
+    assert len(folders) == 21
+    written = spark.read.parquet(f"{out}/waiting")
+    assert written.count() == events.count() + 1  # and the row of the end
+    assert len(list((tmp_path / "out" / "rows").iterdir())) == 1
+    assert len(list((tmp_path / "out" / "carried").iterdir())) == 1
+
+
+def test_slots_close_one_after_another(spark, tmp_path):
+    """In order of time, rows are given out as their slots close; late ones are left out."""
+    rows = [{"k": "a", "s": s, "v": 1.0, "id": s} for s in range(0, 400, 10)]
+    late = {"k": "a", "s": 5, "v": 100.0, "id": -1}
+    files = {n + 1: rows[8 * n : 8 * n + 8] for n in range(5)}
+    files[5] = [*files[5], late]
+    stream, path = timed_rows(spark, tmp_path / "in", files)
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    lateness = timedelta(seconds=40)
+
+    def start(s):
+        return carried.running_sum_in_batches(
+            s, ["k"], "at", ["id"], "v", "total", out, progress, lateness
+        )
+
+    run_to_the_end(stream, "at", start)
+    table = spark.read.schema(READINGS_SCHEMA).json(path).withColumn("at", clock("s"))
+    expected = running_sum(table.where("id >= 0"), ["k"], ["at", "id"], "v", "total")
+    found = carried.results(spark, out, progress, expected.schema)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+    assert len(list((tmp_path / "out" / "rows").iterdir())) > 2
+
+
+def test_timers_ahead_are_carried_on(spark, tmp_path):
+    rows = [{"k": "ab"[i % 2], "s": 3 * i, "v": float(i), "id": i} for i in range(60)]
+    stream, _ = timed_rows(spark, tmp_path / "in", in_thirds(rows))
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    ahead = timedelta(seconds=50)
+
+    def start(s):
+        return carried.timed_sum_in_batches(
+            s, "k", "at", "v", out, progress, ahead, timedelta(seconds=8)
+        )
+
+    run_to_the_end(stream, "at", start)
+    found = carried.results(
+        spark, out, progress, T.StructType().add("k", "string").add("fired_at", "long").add("total", "double")
+    )
+    expected = [
+        (r["k"], (r["s"] + 50 + 86_400) * 1000, sum(q["v"] for q in rows if q["k"] == r["k"] and q["s"] <= r["s"] + 50))
+        for r in rows
+    ]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_stream_columns_of_any_name_stay(spark, tmp_path):
+    stream, path = timed_rows(spark, tmp_path / "in", in_thirds(READINGS))
+    for name in ("_carried", "_sum", "slot", "_at"):
+        own = stream.withColumn(name, F.concat(F.lit("own "), "id"))
+        out, progress = str(tmp_path / f"out{name}"), str(tmp_path / f"progress{name}")
+        schema = T.StructType([*own.schema, T.StructField("total", T.DoubleType())])
+        run_to_the_end(
+            own,
+            "at",
+            lambda s, out=out, progress=progress: carried.running_sum_in_batches(
+                s, ["k"], "at", ["id"], "v", "total", out, progress, WHOLE_SPAN
+            ),
+        )
+        found = carried.results(spark, out, progress, schema).collect()
+        assert len(found) == len(READINGS) and all(r[name] == f"own {r['id']}" for r in found)
+
+
+def test_two_sinks_read_every_file_once(spark, tmp_path):
+    stream, _ = timed_rows(spark, tmp_path / "in", in_thirds(READINGS))
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    sinks = {"small": lambda rows: rows.where("v < 3"), "ids": lambda rows: rows.select("id", "k")}
+    query = fan_out(stream, sinks, out, progress)
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == len(READINGS)
+    # What no commit vouches for is no result.
+    spark.createDataFrame([(-1, "x")], "id long, k string").write.parquet(f"{out}/ids/rows/99")
+    ids = sink_rows(spark, out, "ids", progress, T.StructType().add("id", "long").add("k", "string"))
+    assert sorted(r.id for r in ids.collect()) == sorted(r["id"] for r in READINGS)
+    small = sink_rows(spark, out, "small", progress, stream.schema)
+    assert small.count() == sum(r["v"] < 3 for r in READINGS)
+
+
+def test_sql_text_is_planned_against_the_sink(spark, tmp_path):
+    stream, _ = timed_rows(spark, tmp_path / "in", in_thirds(READINGS))
+    sink = T.StructType().add("name", "string").add("twice", "double")
+    spark.range(3).createOrReplaceTempView("readings")
+    views = {"readings": stream, "other": stream}
+    made = sql_stream(spark, "SELECT k, 2 * v FROM readings WHERE v > 0", views, sink)
+    assert made.isStreaming and made.schema == sink
+    assert drained(made).count() == sum(r["v"] > 0 for r in READINGS)
+    with pytest.raises(ValueError, match="columns"):
+        sql_stream(spark, "SELECT k FROM readings", views, sink)
+    assert spark.table("readings").count() == 3 and not spark.catalog.tableExists("other")
+    spark.catalog.dropTempView("readings")
+
+
+def test_console_prints_what_is_there(spark, tmp_path):
+    stream, _ = timed_rows(spark, tmp_path / "in", in_thirds(READINGS))
+    query = to_console(stream, str(tmp_path / "progress"))
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == len(READINGS)
 
 
 def test_totals_in_update_mode(spark, tmp_path):

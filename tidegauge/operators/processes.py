@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidegauge.functions.expressions import interval_text
 
@@ -53,7 +54,7 @@ def process_windows(
     parts = T.StructType(
         [T.StructField("key", kind), T.StructField("start", T.LongType()), *fields.fields]
     )
-    names = fields.names
+    names, kinds = fields.names, to_arrow_schema(fields).types
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,7 +68,10 @@ def process_windows(
                 own = pa.RecordBatch.from_arrays(taken.columns[2:], names=columns)
                 found.append(partial(own))
             arrow = [groups.column(c).combine_chunks() for c in ("key", "start")]
-            arrow += [pa.array([row[n] for row in found]) for n in names]
+            arrow += [
+                pa.array([row[n] for row in found], kind)
+                for n, kind in zip(names, kinds, strict=True)
+            ]
             yield pa.RecordBatch.from_arrays(arrow, names=["key", "start", *names])
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

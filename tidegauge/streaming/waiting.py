@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegauge.functions.expressions import epoch_micros, micros
 from tidegauge.sinks.writers import stream_writer
 
-_SLOT = "slot"
+_SLOT, _STEP = "slot", "step"
 _ADAPTIVE = "spark.sql.adaptive.enabled"
 
 
@@ -63,7 +63,7 @@ class Step:
         taken = batch.where(at.isNotNull() if before.closed is None else slot >= before.closed)
         plain = [f"c{i}" for i in range(len(batch.columns))]
         taken = taken.select(*[F.col(f"`{n}`") for n in batch.columns], slot.alias(_SLOT))
-        own = f"{folder}/waiting/{number}"
+        own = self._place(number)
         taken.toDF(*plain, _SLOT).write.mode("overwrite").partitionBy(_SLOT).parquet(own)
         self._stored = T.StructType(
             [
@@ -102,12 +102,18 @@ class Step:
 
     def due(self) -> DataFrame:
         """The rows whose slots this micro-batch closes, under their own names."""
-        paths = [f"{self.folder}/waiting/{n}" for n in self._due_from]
-        rows = self.spark.read.schema(self._stored).parquet(*paths)
+        paths = [self._place(n) for n in self._due_from]
+        stored = T.StructType([*self._stored, T.StructField(_STEP, T.LongType())])
+        reader = self.spark.read.schema(stored).option("basePath", f"{self.folder}/waiting")
+        rows = reader.parquet(*paths)
         rows = rows.where(F.col(_SLOT) < self.after.closed)
         if self.before.closed is not None:
             rows = rows.where(F.col(_SLOT) >= self.before.closed)
-        return rows.drop(_SLOT).toDF(*self.schema.names)
+        return rows.drop(_SLOT, _STEP).toDF(*self.schema.names)
+
+    def _place(self, number: int) -> str:
+        """Where a micro-batch's own rows are, as a partition of the log."""
+        return f"{self.folder}/waiting/{_STEP}={number}"
 
     def table(self, name: str, schema: T.StructType) -> DataFrame:
         """A carried table as the last micro-batch that wrote it left it."""
