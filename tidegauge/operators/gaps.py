@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.expressions import epoch_micros, micros
 from tidegauge.plans import runs
-from tidegauge.plans.skew import by_weight, columns_with, group_sizes
+from tidegauge.plans.skew import by_weight, columns_with
 
 # Fixed value: the least distance between two rows.
 DEFAULT_GAP = timedelta(milliseconds=60_000)
@@ -21,19 +21,19 @@ def with_previous(
 ) -> DataFrame:
     """Add ``column`` of the row before, per key; an empty ``keys`` means the whole table.
 
-    The whole-table form never uses one unpartitioned window: it always works
-    on split runs.
+    The whole-table form never uses one unpartitioned window: it always takes the
+    split plan.
     """
 
     def whole(rows: DataFrame) -> DataFrame:
         along = Window.partitionBy(*keys).orderBy(*order)
         return rows.withColumn(out, F.lag(column).over(along)).select(columns_with(rows, out))
 
-    def split(rows: DataFrame, total: int) -> DataFrame:
+    def split(rows: DataFrame, total: int | None = None) -> DataFrame:
         return runs.previous_value(rows, keys, order, column, out, total)
 
     if not keys:
-        return split(frame, group_sizes(frame, keys).total)
+        return split(frame)
     return by_weight(frame, keys, whole, split)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.functions.expressions import same_key, sum_type
-from tidegauge.plans import scans
+from tidegauge.plans import buckets, scans
 from tidegauge.plans.shared import stored
 from tidegauge.plans.skew import rows_per_task
 
@@ -171,13 +171,23 @@ def named(found: DataFrame, names: PlainNames, out: str) -> DataFrame:
 
 
 def previous_value(
-    frame: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, out: str, total: int
+    frame: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    column: str,
+    out: str,
+    total: int | None = None,
 ) -> DataFrame:
-    """lag(column) per key over split runs; with no keys, over the whole table."""
+    """lag(column) per key; with no keys, over the whole table.
+
+    By buckets of time where these fit a task, else over split runs, for which rows are
+    counted if their ``total`` is not given.
+    """
     own, names = plain(frame)
-    found = _previous_value(
-        own, [names[k] for k in keys], [names[o] for o in order], names[column], "out", total
-    )
+    along = [names[k] for k in keys], [names[o] for o in order], names[column], "out"
+    found = buckets.previous_value(own, *along)
+    if found is None:
+        found = _previous_value(own, *along, own.count() if total is None else total)
     return named(found, names, out)
 
 
@@ -191,20 +201,15 @@ def running_sum(
     time: str | None = None,
     idle: int | None = None,
 ) -> DataFrame:
-    """Running sum per key over split runs, NULL until the first non-NULL value.
+    """Running sum per key, NULL until the first non-NULL value.
 
-    With ``idle`` the sum restarts where ``time`` is more than ``idle`` after
-    the row before.  The type is that of SUM.
+    By buckets of time where these fit a task, else over split runs.  With ``idle``
+    the sum restarts where ``time`` is more than ``idle`` after the row before, always
+    over split runs.  The type is that of SUM.
     """
     own, names = plain(frame)
-    summed = _running_sum(
-        own,
-        [names[k] for k in keys],
-        [names[o] for o in order],
-        names[value],
-        "out",
-        total,
-        names[time] if time else None,
-        idle,
-    )
+    along = [names[k] for k in keys], [names[o] for o in order], names[value], "out"
+    summed = buckets.running_sum(own, *along) if idle is None else None
+    if summed is None:
+        summed = _running_sum(own, *along, total, names[time] if time else None, idle)
     return named(summed, names, out)

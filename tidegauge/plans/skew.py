@@ -19,10 +19,11 @@ _SENT_KEYS = 10_000
 
 @dataclass(frozen=True)
 class GroupSizes:
-    """Number of rows in a table and in the largest of its groups."""
+    """Number of rows in a table, in its largest group, and in all groups over the limit."""
 
     total: int
     largest: int
+    in_large: int
 
 
 def rows_per_task(spark: SparkSession) -> int:
@@ -33,16 +34,21 @@ def rows_per_task(spark: SparkSession) -> int:
 def group_sizes(frame: DataFrame, keys: Sequence) -> GroupSizes:
     """Count rows per group; reads the key columns only and combines map-side."""
     rows = F.count(F.lit(1)).alias("rows")
+    limit = rows_per_task(frame.sparkSession)
     if not keys:
         total = frame.agg(rows).first()["rows"]
-        return GroupSizes(total, total)
+        return GroupSizes(total, total, total if total > limit else 0)
     found = (
         frame.groupBy(*keys)
         .agg(rows)
-        .agg(F.sum("rows").alias("total"), F.max("rows").alias("largest"))
+        .agg(
+            F.sum("rows").alias("total"),
+            F.max("rows").alias("largest"),
+            F.sum(F.when(F.col("rows") > limit, F.col("rows"))).alias("in_large"),
+        )
         .first()
     )
-    return GroupSizes(found["total"] or 0, found["largest"] or 0)
+    return GroupSizes(found["total"] or 0, found["largest"] or 0, found["in_large"] or 0)
 
 
 def columns_with(frame: DataFrame, out: str) -> list[str]:
@@ -66,15 +72,12 @@ def by_weight(
     sizes = group_sizes(frame, keys)
     if sizes.largest <= limit:
         return whole(frame)
-    if not keys:
+    if sizes.in_large == sizes.total:
         return split(frame, sizes.total)
     named = [F.col(k).alias(f"_large{i}") for i, k in enumerate(keys)]
     counts = frame.groupBy(*named).agg(F.count(F.lit(1)).alias("_rows"))
     large = stored(counts.where(F.col("_rows") > limit))
-    found = large.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
-    if found["rows"] == sizes.total:
-        return split(frame, sizes.total)
-    own = F.broadcast(large) if found["keys"] <= _SENT_KEYS else large
+    own = F.broadcast(large) if large.count() <= _SENT_KEYS else large
     same = same_key([frame[k] for k in keys], [large[f"_large{i}"] for i in range(len(keys))])
     light, heavy = (frame.join(own, same, how) for how in ("left_anti", "left_semi"))
-    return whole(light).union(split(heavy, found["rows"]))
+    return whole(light).union(split(heavy, sizes.in_large))
