@@ -251,3 +251,28 @@ def test_equal_ties_are_listed_alike(spark, rows_per_task):
         rows_per_task(limit)
         lists.append(rows(readings_list(frame, "k", "at", "v", "tie", timedelta(minutes=1))))
     assert lists[0] == lists[1]
+
+
+def test_split_throttle_reads_whole_rows_once(spark, rows_per_task):
+    """One instant with most rows; equal ties, missing ties and wide rows come back whole."""
+    frame = spark.range(700).selectExpr(
+        "IF(id % 2 = 0, 'a', NULL) AS k",
+        "timestamp_seconds(IF(id < 500, 50, id)) AS at",
+        "IF(id = 4, NULL, 700 - id) AS tie",
+        "map('id', id) AS _at",
+        "array(id, id) AS _row",
+        "-0.0D AS zero",
+    )
+
+    def found():
+        thinned = throttle(frame, ["k", "zero"], "at", ["tie"], timedelta(seconds=30))
+        assert thinned.columns == frame.columns
+        return rows(thinned)
+
+    expected = found()
+    assert len(expected) > 10
+    rows_per_task(40)
+    assert str(found()) == str(expected)
+    thinned = throttle(frame, ["k"], "at", ["tie"], timedelta(seconds=30))
+    plan = thinned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 700") == 1  # the copies hold keys and times only

@@ -371,8 +371,26 @@ def _received_marks(links: DataFrame, marks: DataFrame) -> DataFrame:
 def throttled(
     frame: DataFrame, keys: Sequence[str], order: Sequence[str], gap: int, total: int
 ) -> DataFrame:
-    """Rows of ``frame`` (with column ``_at``) that the rule keeps, over split runs."""
-    runs = pinned(sorted_runs(frame, keys, order, total))
+    """Rows of ``frame`` (with column ``_at``, first in ``order``) that the rule keeps.
+
+    Of an instant the rule keeps one row at most, the first by the rest of ``order``. So
+    it is followed on the distinct (key, time) alone, and the rows themselves are
+    read and shuffled once, reduced to one per instant before that.
+    """
+    times = _kept_times(frame.select(*keys, AT).distinct(), keys, gap, total)
+    row, tie = F.struct(*frame.columns), F.struct(F.lit(0), *order[1:])
+    rows = frame.select(*keys, AT, row.alias("_row"), tie.alias("_tie"), F.lit(False).alias("_kept"))
+    marked = rows.unionByName(times.withColumn("_kept", F.lit(True)), allowMissingColumns=True)
+    # The marks have no tie, so their row is never the first.
+    first = marked.groupBy(*keys, AT).agg(
+        F.min_by("_row", "_tie").alias("_row"), F.max("_kept").alias("_kept")
+    )
+    return first.where("_kept").select("_row.*")
+
+
+def _kept_times(times: DataFrame, keys: Sequence[str], gap: int, total: int) -> DataFrame:
+    """The distinct times that the rule keeps per key, over split runs."""
+    runs = pinned(sorted_runs(times, keys, [AT], total))
     links = pinned(_links(_run_edges(runs, keys, gap), keys, gap))
     stairs = _run_stairs(runs, links, gap)
     marks = _link_marks(stairs, links.where("anchored"), gap)
@@ -386,4 +404,4 @@ def throttled(
                 yield batch.filter(pa.array(follower.keep(batch, mark)))
 
     marked = runs.join(F.broadcast(received), RUN)
-    return marked.mapInArrow(keep, marked.schema).select(*frame.columns)
+    return marked.mapInArrow(keep, marked.schema).select(*times.columns)
