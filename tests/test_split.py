@@ -13,6 +13,7 @@ from tidegauge.operators.gaps import gap_filter
 from tidegauge.operators.rolling import delayed_running_sum, idle_reset_sum, running_sum
 from tidegauge.operators.throttle import throttle
 from tidegauge.operators.windows import readings_list, tumbling_report
+from tidegauge.plans import chains
 from tidegauge.plans.chains import kept, staircase
 
 KEY, ORDER = ["event_type"], ["ts", "event_id"]
@@ -253,7 +254,8 @@ def test_equal_ties_are_listed_alike(spark, rows_per_task):
     assert lists[0] == lists[1]
 
 
-def test_split_throttle_reads_whole_rows_once(spark, rows_per_task):
+@pytest.mark.parametrize("sent", [0, 200_000], ids=["marked", "sent"])
+def test_split_throttle_reads_whole_rows_once(spark, rows_per_task, monkeypatch, sent):
     """One instant with most rows; equal ties, missing ties and wide rows come back whole."""
     frame = spark.range(700).selectExpr(
         "IF(id % 2 = 0, 'a', NULL) AS k",
@@ -264,6 +266,8 @@ def test_split_throttle_reads_whole_rows_once(spark, rows_per_task):
         "-0.0D AS zero",
     )
 
+    monkeypatch.setattr(chains, "_SENT_TIMES", sent)
+
     def found():
         thinned = throttle(frame, ["k", "zero"], "at", ["tie"], timedelta(seconds=30))
         assert thinned.columns == frame.columns

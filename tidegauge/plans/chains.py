@@ -31,9 +31,12 @@ from pyspark.sql import types as T
 from tidegauge.functions.expressions import same_key
 from tidegauge.plans.runs import RUN, sorted_runs
 from tidegauge.plans.scans import Batches, key_changes
-from tidegauge.plans.shared import pinned
+from tidegauge.plans.shared import pinned, stored
 from tidegauge.plans.skew import rows_per_task
 
+#: Up to so many kept times are sent to all tasks.
+_SENT_TIMES = 200_000
+
 AT = "_at"  # event time in microseconds, never NULL
 
 
@@ -375,14 +378,22 @@ def throttled(
 
     Of an instant the rule keeps one row at most, the first by the rest of ``order``. So
     it is followed on the distinct (key, time) alone, and the rows themselves are
-    read and shuffled once, reduced to one per instant before that.
+    read and shuffled once: those of the kept times, if these are few enough to be sent
+    to all tasks, else all, reduced to one per instant before the shuffle.
     """
-    times = _kept_times(frame.select(*keys, AT).distinct(), keys, gap, total)
+    times = stored(_kept_times(frame.select(*keys, AT).distinct(), keys, gap, total))
     row, tie = F.struct(*frame.columns), F.struct(F.lit(0), *order[1:])
-    rows = frame.select(*keys, AT, row.alias("_row"), tie.alias("_tie"), F.lit(False).alias("_kept"))
-    marked = rows.unionByName(times.withColumn("_kept", F.lit(True)), allowMissingColumns=True)
-    # The marks have no tie, so their row is never the first.
-    first = marked.groupBy(*keys, AT).agg(
+    few = times.count() <= _SENT_TIMES
+    if few:
+        sent = times.toDF(*[f"_{name}" for name in times.columns])
+        same = same_key([frame[n] for n in times.columns], [sent[n] for n in sent.columns])
+        frame = frame.join(F.broadcast(sent), same, "left_semi")
+    rows = frame.select(*keys, AT, row.alias("_row"), tie.alias("_tie"), F.lit(few).alias("_kept"))
+    if not few:
+        # The marks have no tie, so their row is never the first.
+        marks = times.withColumn("_kept", F.lit(True))
+        rows = rows.unionByName(marks, allowMissingColumns=True)
+    first = rows.groupBy(*keys, AT).agg(
         F.min_by("_row", "_tie").alias("_row"), F.max("_kept").alias("_kept")
     )
     return first.where("_kept").select("_row.*")
