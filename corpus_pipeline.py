@@ -26,8 +26,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of earlier ones; their length is counted anew."""
-    left = line_dedup.without_repeats(docs, spans=None)
+    """Documents without passages that stand earlier, in others or themselves; counted anew."""
+    left = line_dedup.without_repeats(docs, spans=None, within=True)
     return line_dedup.recounted(left)
 
 

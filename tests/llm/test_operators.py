@@ -490,6 +490,30 @@ def test_what_a_text_repeats_of_itself_stays(spark):
     assert got[1] == rows[0][1] and got[2] == rows[1][1] and len(got[3].split()) < 40
 
 
+def test_what_a_text_repeats_of_itself_goes_in_the_pipeline(spark):
+    line, other = (" ".join(f"{letter}{i}" for i in range(60)) for letter in "wv")
+    rows = [
+        (1, f"{line}\nbetween\n{line}\nend"),
+        (2, f"{other}\n{line}\n{other}"),
+        (3, "a " * 300 + "end"),
+        (None, f"{line}\n{other}\n{line}"),
+        (4, None),
+    ]
+    frame = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string").repartition(3)
+    left = corpus_pipeline.line_dedup_stage(spark, frame, "")
+    found = Counter((r["doc_id"], r["text"]) for r in left.collect())
+    assert found.pop((1, f"{line}\nbetween\nend")) == 2
+    texts = {key: text for key, text in found}
+    assert 0 < len(texts.pop(3).split()) <= 32  # the first pair of units
+    assert texts == {2: other, None: "", 4: None}
+    spans = {
+        r["doc_id"]: r["removed_spans"]
+        for r in line_dedup.without_repeats(frame, within=True).collect()
+    }
+    begin = len(line) + len("\nbetween\n")
+    assert [tuple(s) for s in spans[1]] == [(begin, begin + len(line), 60, 1)]
+
+
 def test_line_dedup_where_ids_are_equal_or_missing(spark):
     a, b, c, d = (" ".join(f"{letter}{i}" for i in range(55)) for letter in "abcd")
     rows = [(1, a), (1, f"{b}\n{a}"), (None, f"{a}\n{c}"), (None, f"{d}\n{c}"), (None, None)]
