@@ -62,3 +62,27 @@ def test_no_rows(spark):
         frame.withColumn("key", F.lit(1)), "k", "at", timedelta(1), ["text"], *functions(), FIELDS
     )
     assert found.columns == ["k", "window_start", "window_end", "n", "longest"] and found.count() == 0
+
+
+def test_small_batches_come_together(spark):
+    calls = T.StructType([T.StructField("calls", T.LongType()), T.StructField("n", T.LongType())])
+    begin = datetime(2024, 5, 1)
+    rows = [(i % 3, begin + timedelta(seconds=i), "t") for i in range(900)]
+    frame = spark.createDataFrame(rows, "k int, at timestamp_ntz, text string").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+
+    def partial(rows):
+        return {"calls": 1, "n": rows.num_rows}
+
+    def merge(parts):
+        parts = list(parts)
+        return {n: sum(p[n] for p in parts) for n in ("calls", "n")}
+
+    try:
+        found = processes.process_windows(
+            frame, "k", "at", timedelta(1), ["text"], partial, merge, calls
+        ).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted((r["k"], r["calls"], r["n"]) for r in found) == [(k, 1, 300) for k in range(3)]
