@@ -25,6 +25,7 @@ from tidegauge.llm import (
     licenses,
     line_dedup,
     mixing,
+    pieces,
     quality,
     queries,
     simhash,
@@ -97,6 +98,31 @@ def test_strings_of_added_tokens_are_these_tokens(spark):
     assert sorted(tuple(r) for r in got) == expected
 
 
+def test_pieces_that_come_often_are_encoded_once():
+    asked = []
+
+    def encode(new):
+        asked.extend(new)
+        ids = np.array([ord(c) for p in new for c in p], np.uint32)
+        return ids, np.array([len(p) for p in new], np.int64)
+
+    known = pieces.PieceIds(encode, limit=40)
+    for i in range(200):
+        texts = [["often", f"rare{i}", "often"], [], ["", f"once{i}"]]
+        ids, lengths = known(texts)
+        assert "".join(map(chr, ids)) == "".join(p for t in texts for p in t)
+        assert lengths.tolist() == [sum(map(len, t)) for t in texts]
+    assert Counter(asked).most_common(1)[0][1] == 1
+
+
+def test_patterns_of_odd_characters():
+    rng = random.Random(2)
+    alphabet = "ab 1'\n\x1c\x1f\x85²é\u2003ƒǅ中Ⅷ .s"
+    texts = ["".join(rng.choices(alphabet[: rng.randrange(2, 21)], k=rng.randrange(30))) for _ in range(2000)]
+    for text, pattern in zip(texts, pieces.patterns(texts), strict=True):
+        assert pieces.split(text, pattern) == pieces.split(text)
+
+
 # 2: top k
 
 

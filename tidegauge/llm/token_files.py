@@ -25,6 +25,7 @@ import struct
 import zlib
 from collections.abc import Callable, Iterator
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,7 @@ BLOCK_IDS = 1 << 18
 _HEAD = "<4sIQII"
 _TOGETHER = 2_000_000
 #: Distinct pieces that a task's memory holds.
-REMEMBERED = 700_000
+REMEMBERED = 1_100_000
 _MAGIC = b"S8B1"
 _PAYLOAD = 60
 _ESCAPE = 15
@@ -83,7 +84,7 @@ def _selectors(ids: np.ndarray) -> np.ndarray:
             step = min(reach, count - reach)
             widest[:, :-step] = np.maximum(widest[:, :-step], widest[:, step:])
             reach += step
-        chosen[widest <= width] = selector
+        np.copyto(chosen, selector, where=widest <= width)
     return chosen
 
 
@@ -97,31 +98,29 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if frames:
         sizes[-1] = len(ids) - (frames - 1) * FRAME
     at = np.zeros(frames, np.int64)
-    starts, owners = [], []
+    starts = np.zeros(frames * FRAME, bool)
     active = np.flatnonzero(at < sizes)
     while len(active):
-        starts.append(active * FRAME + at[active])
-        owners.append(active)
+        starts[active * FRAME + at[active]] = True
         at[active] += _COUNT_OF[chosen[active, at[active]]]
         active = active[at[active] < sizes[active]]
-    if not starts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-    start, owner = np.concatenate(starts), np.concatenate(owners)
-    start.sort()
+    start = np.flatnonzero(starts)
     selector = chosen.reshape(-1)[start]
     words = selector.astype(np.uint64) << np.uint64(_PAYLOAD)
-    # A word may reach past its frame only where the rest of the frame is used up.
-    space = np.concatenate([padded, np.zeros(COUNTS[0], np.uint64)])
-    left = sizes[start // FRAME] - start % FRAME
-    for s in np.unique(selector):
+    # Zeros behind each frame, as its last word may reach past it.
+    space = np.zeros((frames, FRAME + COUNTS[0]), np.uint64)
+    space[:, :FRAME] = padded.reshape(-1, FRAME)
+    space = space.reshape(-1)
+    place = start + start // FRAME * COUNTS[0]
+    for s in np.flatnonzero(np.bincount(selector)):
         where = np.flatnonzero(selector == s)
         count = int(_COUNT_OF[s])
-        steps = np.arange(count)
-        taken = space[start[where, None] + steps]
-        taken[steps >= left[where, None]] = 0
-        shifts = (steps * (_PAYLOAD // count)).astype(np.uint64)
-        words[where] |= np.bitwise_or.reduce(taken << shifts, axis=1)
-    per_frame = np.bincount(owner, minlength=frames)
+        first = place[where]
+        taken = space[first]
+        for step in range(1, count):
+            taken |= space[first + step] << np.uint64(step * (_PAYLOAD // count))
+        words[where] |= taken
+    per_frame = np.count_nonzero(starts.reshape(-1, FRAME), axis=1)
     return words, (np.cumsum(per_frame) - per_frame).astype(np.uint32)
 
 
@@ -171,15 +170,17 @@ def read_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
     return unpack(np.frombuffer(block, "<u8", n_words, at), first_words, n_ids), per_document
 
 
-def _visible_bytes() -> dict[int, int]:
-    """The characters that stand for bytes in a byte-level vocabulary.
+def _visible_bytes() -> np.ndarray:
+    """For each byte, the character that stands for it in a byte-level vocabulary.
 
     Visible characters of Latin-1 stand for themselves, the other bytes for the
     characters from 256 on.
     """
     visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in visible]
-    return {b: 256 + i for i, b in enumerate(hidden)}
+    characters = np.arange(256, dtype="<u4")
+    hidden = np.setdiff1d(characters, visible)
+    characters[hidden] = 256 + np.arange(len(hidden))
+    return characters
 
 
 def _encoder(definition: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
@@ -211,10 +212,13 @@ def _encoder(definition: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndar
     tokenize, visible = tokenizer.model.tokenize, _visible_bytes()
 
     def pieces(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        strings = [p.encode("utf-8", "surrogatepass").decode("latin-1") for p in new]
-        found = [[t.id for t in tokenize(s.translate(visible))] for s in strings]
-        lengths = np.array([len(f) for f in found], np.int64)
-        return np.fromiter(chain.from_iterable(found), np.uint32, lengths.sum()), lengths
+        # Byte 255, which UTF-8 never has and which stands for itself, parts the pieces.
+        joined = b"\xff".join([p.encode("utf-8", "surrogatepass") for p in new])
+        characters = visible[np.frombuffer(joined, np.uint8)]
+        found = list(map(tokenize, characters.tobytes().decode("utf-32-le").split("\xff")))
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        ids = map(attrgetter("id"), chain.from_iterable(found))
+        return np.fromiter(ids, np.uint32, lengths.sum()), lengths
 
     known = PieceIds(pieces, REMEMBERED)
     contents = [t.content for t in tokenizer.get_added_tokens_decoder().values() if t.content]
