@@ -4,9 +4,11 @@ import base64
 import hashlib
 import random
 import re
+import sys
 import textwrap
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
@@ -32,6 +34,9 @@ from tidegauge.llm import (
     token_files,
     topk,
 )
+from tidegauge.llm.common import remembered
+from tidegauge.plans import shared
+from tidegauge.plans.shared import files_for, in_fewer_tasks, stored
 
 
 def pairs(frame):
@@ -733,3 +738,84 @@ def test_pipeline_equals_its_stages_in_plain_python(spark):
         if name == "line_dedup":
             assert all(r["n_chars"] == len(r["text"]) for r in rows)
     assert corpus_pipeline.run(spark, folder).count() == docs.count()
+
+
+# The chain's memory: few files, no Python processes besides those that do the work
+
+
+def written_files(folder):
+    return sum(1 for _ in Path(folder).rglob("part-*.parquet"))
+
+
+@pytest.fixture
+def many_partitions(spark, tmp_path, monkeypatch):
+    """64 partitions that Spark does not put together; the shared folder is a new one."""
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    monkeypatch.setattr(shared, "shared_folder", lambda spark: str(tmp_path))
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield tmp_path
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def near_copies(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(120):
+        text = " ".join(rng.choices(words, k=80))
+        rows += [(2 * i, text, f"s{i % 3}", len(text)), (2 * i + 1, text + " end", f"s{i % 3}", 0)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+
+
+def test_few_rows_are_written_in_few_files(many_partitions, spark):
+    frame = spark.range(1000).groupBy("id").count()
+    assert stored(frame, files_for(1000)).count() == 1000
+    assert written_files(many_partitions) == 1
+    assert files_for(0) == 1 and files_for(1_000_000) == 11
+
+
+def test_groups_and_mix_write_few_files_whatever_the_partitions(many_partitions, near_copies):
+    groups = simhash.near_duplicates(near_copies).collect()
+    prints = {r["doc_id"]: simhash_of(r["text"]) for r in near_copies.collect()}
+    assert len(groups) == 240
+    assert {r["doc_id"]: int(r["fingerprint"], 16) for r in groups} == prints
+    by_prints = written_files(many_partitions)
+    assert by_prints <= 30  # 204 with a file for each partition
+    assert mixing.mix_report(near_copies).count() == 240
+    assert written_files(many_partitions) - by_prints <= 60  # 115
+
+
+def test_places_of_sources_need_no_python_process(spark, near_copies):
+    sources = near_copies.groupBy("source").agg(F.sum("n_chars").alias("source_size"))
+    ranked = mixing._ranked(sources)
+    assert {r["source"]: r["place"] for r in ranked.collect()} == {"s0": 0, "s1": 1, "s2": 2}
+    assert "ExistingRDD" not in ranked._jdf.queryExecution().toString()
+
+
+def test_of_large_things_the_last_is_remembered(monkeypatch):
+    monkeypatch.setattr(sys, "_tidegauge_remembered", {}, raising=False)
+    monkeypatch.setattr(sys, "_tidegauge_large", None, raising=False)
+    small, one = remembered("small", list), remembered("one", list, large=True)
+    assert remembered("one", list, large=True) is one
+    other = remembered("other", list, large=True)
+    assert remembered("small", list) is small
+    assert list(sys._tidegauge_remembered) == ["small", "other"]
+    assert remembered("other", list, large=True) is other
+
+
+def test_results_have_tasks_of_many_texts(many_partitions, near_copies):
+    for result in (
+        simhash.one_per_group(near_copies),
+        mixing.mixed(near_copies),
+        line_dedup.without_repeats(near_copies, within=True),
+    ):
+        assert result.rdd.getNumPartitions() == 1  # 64 before
+    assert in_fewer_tasks(near_copies.repartition(9), 4 * 2_500).rdd.getNumPartitions() == 5
+    assert in_fewer_tasks(near_copies.repartition(9), 10**6).rdd.getNumPartitions() == 9

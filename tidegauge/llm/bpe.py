@@ -247,7 +247,7 @@ class Codec:
 def codec(rank_file: bytes) -> Codec:
     """The codec of a rank file; a Python worker builds it once."""
     name = hashlib.sha256(rank_file).hexdigest()
-    return remembered(("codec", name), lambda: Codec(rank_file))
+    return remembered(("codec", name), lambda: Codec(rank_file), large=True)
 
 
 def _broadcast(documents: DataFrame, rank_path: str) -> Broadcast:

@@ -13,11 +13,12 @@ than its largest document.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import shuffle_partitions, text_mark
-from tidegauge.plans.shared import stored
+from tidegauge.plans.shared import files_for, in_fewer_tasks, stored
 
 #: Source weights in code point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -27,6 +28,8 @@ STEPS = 40
 _CLOSE = 1e-9
 _SALTS = 256
 _SHIFTS = 32
+#: Counts are a small part of what they count, so a file takes those of some partitions.
+_PARTITIONS_PER_FILE = 16
 _STEEPEST = 700.0
 
 
@@ -47,9 +50,11 @@ def _ranked(sources: DataFrame) -> DataFrame:
     before, offsets = 0, []
     counts = placed.groupBy("part").count().collect()  # one row per partition
     for row in sorted(counts, key=lambda r: r["part"]):
-        offsets.append((row["part"], before))
+        offsets.append({"part": row["part"], "before": before})
         before += row["count"]
-    known = sources.sparkSession.createDataFrame(offsets, "part int, before long")
+    # From Arrow: a list of rows would pass through Python processes of its own on the executors.
+    kinds = pa.schema([("part", pa.int32()), ("before", pa.int64())])
+    known = sources.sparkSession.createDataFrame(pa.Table.from_pylist(offsets, kinds))
     inside = Window.partitionBy("part").orderBy(*order)
     return (
         placed.join(F.broadcast(known), "part")
@@ -115,12 +120,14 @@ def _solved(counts: DataFrame, aims: DataFrame, limit: float) -> DataFrame:
     pairs = counts.where("size > 0").withColumnRenamed("source", "c_source")
     total = F.sum(F.col("size") * F.col("n"))
     means = pairs.groupBy("c_source").agg((total / F.sum("n")).alias("mean"))
+    files = files_for(counts.count())
     state = stored(
         aims.join(means, _same("source", "c_source"))
         .drop("c_source")
         .withColumn("full", F.col("target") >= F.col("source_size") * (limit * (1 - 1e-12)))
         .withColumns({"tilt": F.lit(0.0), "low": F.lit(-_STEEPEST), "high": F.lit(_STEEPEST)})
-        .withColumn("open", ~F.col("full"))
+        .withColumn("open", ~F.col("full")),
+        files,
     )
     power = F.col("tilt") * F.col("size") / F.col("mean")
     free = power < F.log(F.lit(float(limit)))
@@ -151,7 +158,8 @@ def _solved(counts: DataFrame, aims: DataFrame, limit: float) -> DataFrame:
                 *["source", "source_size", "target", "mean", "full", "low", "high"],
                 F.when(F.col("on"), after).otherwise(F.col("tilt")).alias("tilt"),
                 F.col("on").alias("open"),
-            )
+            ),
+            files,
         )
         if state.where("open").isEmpty():
             break
@@ -183,8 +191,10 @@ def _decided(
     """Rows with key, mark, source and size get source_size, target, rate and copies."""
     salt = F.pmod(F.xxhash64("key", "mark"), F.lit(_SALTS)).cast("int")
     rows = rows.withColumn("salt", salt)
-    cells = stored(rows.groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n")))
-    counts = stored(cells.groupBy("source", "size").agg(F.sum("n").alias("n")))
+    few = max(1, shuffle_partitions(rows.sparkSession) // _PARTITIONS_PER_FILE)
+    cells = stored(rows.groupBy("source", "size", "salt").agg(F.count(F.lit(1)).alias("n")), few)
+    files = files_for(cells.count())
+    counts = stored(cells.groupBy("source", "size").agg(F.sum("n").alias("n")), files)
     aims = targets(
         counts.select("source", (F.col("size") * F.col("n")).alias("size")), weights, share, limit
     )
@@ -207,7 +217,8 @@ def _decided(
             F.col("source").alias("r_source"),
             F.col("size").alias("r_size"),
             *["n", "rate", "before"],
-        )
+        ),
+        files,
     )
     shifted = _shifts(rated, aims)
     inner = F.col("rate") * (F.sum("n").over(by_salt) - F.col("n"))
@@ -223,12 +234,14 @@ def _decided(
             F.col("size").alias("p_size"),
             F.col("salt").alias("p_salt"),
             *["rate", "before", "source_size", "target"],
-        )
+        ),
+        files,
     )
     own = Window.partitionBy("source", "size", "salt").orderBy("key", "mark")
     start = F.col("before") + F.col("rate") * (F.row_number().over(own) - 1)
     copies = F.floor(F.col("start") + F.col("rate")) - F.floor("start")
-    return (
+    total = cells.agg(F.sum("n")).first()[0] or 0
+    return in_fewer_tasks(
         rows.join(
             placed,
             _same("source", "p_source")
@@ -237,7 +250,8 @@ def _decided(
         )
         .withColumn("start", start)
         .withColumn("copies", F.least(copies, F.lit(limit)).cast("int"))
-        .drop("p_source", "p_size", "p_salt", "salt", "start", "before", "mark")
+        .drop("p_source", "p_size", "p_salt", "salt", "start", "before", "mark"),
+        total,
     )
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm.common import shuffle_partitions, slices, text_mark
-from tidegauge.plans.shared import stored
+from tidegauge.plans.shared import files_for, in_fewer_tasks, stored
 
 WORDS = 3
 DISTANCE = 3
@@ -224,14 +224,21 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     ``nodes`` has ``print`` and ``label`` (of any type that has an order), ``edges`` has
     ``a`` and ``b``. Each round
     passes the smallest root along the links and then takes the root of the root,
-    so chains shrink by half; every round is written to the shared folder.
+    so chains shrink by half; every round is written to the shared folder. Both tables are
+    read more than once, so they should be stored.
     """
+    ends_of_links = 2 * edges.count()
+    files = files_for(ends_of_links)
     both = stored(
-        edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))),
+        files,
     )
     ends = both.select(F.col("a").alias("print")).distinct()
     start = F.struct("label", F.col("print").alias("at"))
-    state = stored(nodes.join(ends, "print", "left_semi").select("print", start.alias("root")))
+    state = stored(
+        nodes.join(ends, "print", "left_semi").select("print", start.alias("root")),
+        files_for(nodes.count() + ends_of_links),
+    )
     while True:
         sent = (
             both.join(state, F.col("a") == F.col("print"))
@@ -243,7 +250,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                 "print",
                 F.least("root", F.coalesce("heard", "root")).alias("root"),
                 F.col("root").alias("old"),
-            )
+            ),
+            files,
         )
         ahead = heard.select(F.col("print").alias("at"), F.col("root").alias("ahead"))
         state = stored(
@@ -251,7 +259,8 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                 "print",
                 F.least("root", "ahead").alias("root"),
                 (F.least("root", "ahead") < F.col("old")).alias("moved"),
-            )
+            ),
+            files,
         )
         if state.where("moved").isEmpty():
             return state.select("print", F.col("root.label").alias("root"))
@@ -259,14 +268,19 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _rooted(prints: DataFrame, distance: int) -> DataFrame:
-    """``print`` and ``root``: id and mark of the first row of the component, by id, then mark."""
+    """``print`` and ``root``: id and mark of the first row of the component, by id, then mark.
+
+    ``prints`` is a stored table.
+    """
+    files = files_for(prints.count())
     row = F.struct(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "mark")
     nodes = stored(
-        prints.groupBy(F.col("fingerprint").alias("print")).agg(F.min(row).alias("label"))
+        prints.groupBy(F.col("fingerprint").alias("print")).agg(F.min(row).alias("label")), files
     )
-    roots = components(nodes, stored(links(nodes.select("print"), distance)))
+    roots = components(nodes, stored(links(nodes.select("print"), distance), files))
     return stored(
-        nodes.join(roots, "print", "left").select("print", F.coalesce("root", "label").alias("root"))
+        nodes.join(roots, "print", "left").select("print", F.coalesce("root", "label").alias("root")),
+        files,
     )
 
 
@@ -312,7 +326,8 @@ def one_per_group(
     row. All columns are kept. Empty tables give no rows.
     """
     prints = stored(fingerprints(documents, key, text, words))
-    kept = stored(_rooted(prints, distance).select("root.*").distinct())
+    rows = prints.count()
+    kept = stored(_rooted(prints, distance).select("root.*").distinct(), files_for(rows))
     row = [F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "mark"]
     copies = prints.select(*row).groupBy("id", "mark").agg(F.count(F.lit(1)).alias("n"))
     several = stored(kept.join(copies.where("n > 1"), ["id", "mark"], "left_semi"))
@@ -336,4 +351,4 @@ def one_per_group(
     else:
         once = rows_of(kept.join(several, ["id", "mark"], "left_anti"))
         staying = once.unionByName(rows_of(several).dropDuplicates(own))
-    return staying.drop(*own).toDF(*names)
+    return in_fewer_tasks(staying.drop(*own).toDF(*names), rows)
